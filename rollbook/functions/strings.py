@@ -13,6 +13,8 @@ from pyspark.sql.types import StringType
 INT_PATTERN = r"\A\d+\z"
 DOUBLE_PATTERN = r"\A[-+]?\d*[.]\d+\z"
 
+# What a JSON value can begin with.
+JSON_START = r'\A[ \t\r\n]*[-\[{"0-9tfn]'
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
@@ -35,13 +37,15 @@ def is_json(text: Column) -> Column:
     Spark's parsers stop at the end of the first value and ignore what follows.
     So the text is parsed twice, inside ``[ ]`` and inside ``{"v": }``: text that
     closes the one wrapper early cannot close the other, and only a single
-    complete value passes both.
+    complete value passes both. Words and prose fail on their first character,
+    which is far cheaper than a failed parse.
     """
+    may_be = F.coalesce(text.rlike(JSON_START), F.lit(False))
     in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", STRICT_JSON)
     in_object = F.from_json(
         F.concat(F.lit('{"v":'), text, F.lit("}")), "map<string,string>", STRICT_JSON
     )
-    return F.coalesce(F.size(in_list) == 1, F.lit(False)) & in_object.isNotNull()
+    return may_be & F.coalesce(F.size(in_list) == 1, F.lit(False)) & in_object.isNotNull()
 
 
 CHECKS = {"is_empty": is_empty, "is_int": is_int, "is_double": is_double, "is_json": is_json}

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 CELL_KEY = ["row_key", "family", "qualifier"]
 
-# Up to this many columns a row is put together in a single shuffle.
-NARROW_COLUMNS = 32
+# Up to this many columns a row is put together in a single shuffle. The work
+# per cell grows with the columns there; beyond, it no longer does.
+NARROW_COLUMNS = 100
 
 # As many as Spark's own pivot takes by default (spark.sql.pivotMaxValues).
 MAX_COLUMNS = 10_000
@@ -40,29 +41,62 @@ def _wanted(columns: list[tuple[str, str]]) -> Column:
     return wanted
 
 
-def _newest() -> Column:
+def _newest(of: Column | None = None) -> Column:
     # The value breaks ties of ts, so that a task run again gives the same row.
-    return F.max(F.struct("ts", "value"))
+    version = F.struct("ts", "value")
+    return F.max(version if of is None else F.when(of, version))["value"]
+
+
+def _narrow_table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """One aggregate per column, combined before the only shuffle."""
+    return cells.groupBy("row_key").agg(
+        *[
+            _newest((F.col("family") == family) & (F.col("qualifier") == qualifier)).alias(
+                f"{family}:{qualifier}"
+            )
+            for family, qualifier in columns
+        ]
+    )
+
+
+def _wide_table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """Cells first down to one version each, then gathered by row.
+
+    The first step leaves a hot row at most one cell per column, so what the
+    second gathers is bounded by the number of columns. Shuffled are cells, not
+    rows of mostly null columns.
+    """
+    # The broadcast side has a row per output column: MAX_COLUMNS, or the request.
+    positions = cells.sparkSession.createDataFrame(
+        [(family, qualifier, i) for i, (family, qualifier) in enumerate(columns)],
+        "family string, qualifier string, position int",
+    )
+    newest = (
+        cells.groupBy(*CELL_KEY)
+        .agg(_newest().alias("value"))
+        .join(F.broadcast(positions), ["family", "qualifier"])
+        .select("row_key", "position", "value")
+    )
+    # Cells of a row are in different tasks now; gathering them before the
+    # shuffle would find nothing to combine.
+    rows = (
+        newest.repartition("row_key")
+        .groupBy("row_key")
+        .agg(F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("row"))
+    )
+    return rows.select(
+        "row_key",
+        *[
+            F.col("row")[i].alias(f"{family}:{qualifier}")
+            for i, (family, qualifier) in enumerate(columns)
+        ],
+    )
 
 
 def _table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     """One row per row key with a column ``family:qualifier`` for each of ``columns``."""
-    if len(columns) > NARROW_COLUMNS:
-        # Partial rows of many columns are mostly null, and larger than the cells
-        # they stand for. Shuffle cells instead: first down to one version each,
-        # which also shrinks a hot row to at most one cell per column, then by row.
-        newest = cells.groupBy(*CELL_KEY).agg(_newest().alias("cell"))
-        cells = newest.select(*CELL_KEY, "cell.*").repartition("row_key")
-    per_column = [
-        F.max(
-            F.when(
-                (F.col("family") == family) & (F.col("qualifier") == qualifier),
-                F.struct("ts", "value"),
-            )
-        )["value"].alias(f"{family}:{qualifier}")
-        for family, qualifier in columns
-    ]
-    return cells.groupBy("row_key").agg(*per_column)
+    build = _narrow_table if len(columns) <= NARROW_COLUMNS else _wide_table
+    return build(cells, columns)
 
 
 def cells_select(cells: DataFrame, request: str) -> DataFrame:

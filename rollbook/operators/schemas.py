@@ -50,7 +50,7 @@ def set_nullable(df: DataFrame, column: str, nullable: bool) -> DataFrame:
         return df
     value = F.col("`" + column.replace("`", "``") + "`")
     if nullable:
-        edited = F.when(F.lit(True), value)
+        edited = F.when(value.isNotNull(), value)
     else:
         stop = F.raise_error(F.lit(f"null in column {column}, which is not nullable"))
         checked = F.when(value.isNull(), stop.cast(field.dataType)).otherwise(value)

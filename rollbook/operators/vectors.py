@@ -14,7 +14,8 @@ def _vector(df: DataFrame, features: str) -> Column:
     if isinstance(data_type, VectorUDT):
         return F.col(features)
     if isinstance(data_type, ArrayType):
-        return array_to_vector(F.col(features).cast("array<double>"))
+        vector = array_to_vector(F.col(features).cast("array<double>"))
+        return F.when(F.col(features).isNotNull(), vector)
     raise TypeError(f"column {features} is {data_type.simpleString()}, not a vector or an array")
 
 

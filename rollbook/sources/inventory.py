@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row per data file at any depth below ``root``.
 
-    Columns ``path, name, parent, length, modification_time``; names that start
-    with ``_`` or ``.`` are left out, as in every Spark reader. No file content
-    is read. Sizes per folder are a ``groupBy("parent")``.
+    Columns ``path, name, parent, length, modification_time``. As in every Spark
+    reader, files without a byte and names that start with ``_`` or ``.`` are left
+    out. No file content is read. Sizes per folder are a ``groupBy("parent")``.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return files.select(

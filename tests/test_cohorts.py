@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, TimestampType
+
+import rollbook as rb
+from rollbook import fixtures
+
+CUTOFF = "2020-03-26 00:00:00"
+
+# builddate, sgstatus, canceldate, in total, in new
+CUSTOMERS = [
+    ("2020-02-26 00:00:00", "1", None, True, True),
+    ("2020-03-26 00:00:00", "1", None, False, False),
+    ("2020-03-25 23:59:59", "9", "2020-03-26 00:00:00", True, True),
+    ("2020-03-01 00:00:00", "9", "2020-03-25 23:59:59", False, False),
+    ("2020-03-01 00:00:00", "9", None, False, False),
+    ("2020-03-01 00:00:00", None, "2020-04-01 00:00:00", False, False),
+    (None, "1", None, False, False),
+    ("2019-01-01 00:00:00", "1", None, True, False),
+]
+
+
+@pytest.fixture(params=["timestamp_ntz", "timestamp", "string"])
+def customers(spark, request):
+    schema = "BUILDDATE string, SGSTATUS string, CANCELDATE string, total boolean, new boolean"
+    rows = spark.createDataFrame(CUSTOMERS, schema)
+    return rows.withColumns(
+        {c: F.col(c).cast(request.param) for c in ("BUILDDATE", "CANCELDATE")}
+    )
+
+
+def _each(customers, count, name):
+    """The count of every customer alone, next to what it should be."""
+    pairs = []
+    for i, expected in enumerate(row[name] for row in customers.collect()):
+        one = customers.offset(i).limit(1)
+        pairs.append((count(one).collect()[0][0] == 1, expected))
+    return pairs
+
+
+def test_total_users_edges(customers):
+    assert all(got == want for got, want in _each(customers, rb.total_users, "total"))
+    assert rb.total_users(customers).collect()[0].total_users == 3
+
+
+def test_new_users_edges(customers):
+    assert all(got == want for got, want in _each(customers, rb.new_users, "new"))
+    assert rb.new_users(customers).collect()[0].new_users == 2
+
+
+def test_instants_may_be_dates(customers):
+    day, moment = datetime.date(2020, 3, 26), datetime.datetime(2020, 3, 26)
+    for cutoff in (day, moment, "2020-03-26"):
+        assert rb.total_users(customers, cutoff).collect()[0][0] == 3
+
+
+def test_predicate_alone(customers):
+    data_type = customers.select("canceldate").schema[0].dataType
+    active = rb.active_as_of(CUTOFF, data_type)
+    kept = [row[0] for row in customers.select(active).collect()]
+    assert kept == [True, True, True, False, None, None, True, True]
+
+
+def test_timestamps_with_zone_follow_the_session(spark):
+    rows = spark.createDataFrame([(CUTOFF, "1", None)], "b string, sgstatus string, c string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        zoned = rows.select(
+            F.col("b").cast("timestamp").alias("builddate"),
+            "sgstatus",
+            F.col("c").cast("timestamp").alias("canceldate"),
+        )
+        assert rb.total_users(zoned, CUTOFF).collect()[0][0] == 0
+        assert rb.total_users(zoned, "2020-03-26 00:00:01").collect()[0][0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize(
+    "begin, end",
+    [("", CUTOFF), ("2020-01-01", ""), (None, CUTOFF), (CUTOFF, CUTOFF), (CUTOFF, "2020-01-01")],
+)
+def test_window_must_be_whole_and_ordered(customers, begin, end):
+    with pytest.raises(ValueError):
+        rb.new_users(customers, begin, end)
+
+
+@pytest.mark.parametrize("cutoff", ["", "yesterday", "2020-03-26T00:00:00+08:00"])
+def test_cutoff_must_be_a_plain_time(customers, cutoff):
+    with pytest.raises(ValueError):
+        rb.total_users(customers, cutoff)
+
+
+def test_window_from_the_start_is_the_total(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    orders, lineitem = (rb.read_parquet(spark, f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
+    consumer = fixtures.consumer(orders, lineitem)
+    first = consumer.agg(F.min("builddate")).collect()[0][0]
+    for end in ("1996-07-01", "1998-03-26", "2001-12-31"):
+        total = rb.total_users(consumer, end).collect()[0][0]
+        assert rb.new_users(consumer, first, end).collect()[0][0] == total > 0
+
+
+def test_job_counts_writes_and_names_the_column(spark, customers, tmp_path):
+    customers.createOrReplaceTempView("customers_for_job")
+    job = lambda output: rb.new_users_between(
+        spark, "customers_for_job", "2020-02-26", "2020-03-26", output
+    )
+    for output in (None, "", str(tmp_path / "counted")):
+        counted = job(output)
+        assert counted.columns == ["xzyhs"]
+        assert counted.collect()[0].xzyhs == 2
+    assert spark.read.parquet(str(tmp_path / "counted")).collect()[0].xzyhs == 2
+
+
+@pytest.mark.parametrize("data_type", [StringType(), TimestampType()])
+def test_predicate_takes_the_column_type(spark, data_type):
+    df = spark.range(1).select(
+        F.lit("9").alias("sgstatus"), F.lit(CUTOFF).cast(data_type).alias("canceldate")
+    )
+    assert df.filter(rb.active_as_of(CUTOFF, data_type)).count() == 1

@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+import rollbook as rb
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_write_parquet_replaces(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rb.write_parquet(spark.range(5), out)
+    rb.write_parquet(spark.range(3), out)
+    assert spark.read.parquet(out).count() == 3
+
+
+@pytest.mark.parametrize("path", [None, ""])
+def test_no_path_runs_nothing(spark, path):
+    fails = spark.range(1).select(F.raise_error(F.lit("ran")).cast("string").alias("x"))
+    rb.write_parquet(fails, path)
+
+
+def test_write_text_replaces(spark, tmp_path):
+    out = str(tmp_path / "text")
+    rb.write_text(spark.createDataFrame([("old",)], "t string"), out)
+    df = spark.createDataFrame([("a", 1), ("", 2)], "t string, n int")
+    rb.write_text(df, out, "t")
+    assert sorted(r.value for r in rb.read_text(spark, out).collect()) == ["", "a"]
+    with pytest.raises(Exception):
+        rb.write_text(df, out)
+
+
+def test_copy_keeps_rows_and_schema(spark, tmp_path):
+    source = f"{SF_DIR}/supplier.parquet"
+    rb.copy_dataset(spark, source, str(tmp_path / "a"))
+    rb.copy_dataset(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    original, copy = spark.read.parquet(source), spark.read.parquet(str(tmp_path / "b"))
+    assert copy.schema == original.schema
+    assert copy.exceptAll(original).isEmpty() and copy.count() == original.count()
+
+
+def test_copy_from_a_descriptor_file(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE copied LOCATION '{tmp_path / 'db'}'")
+    try:
+        spark.range(4).write.saveAsTable("copied.numbers")
+        fields = {"dbName": "copied", "tableName": "numbers", "dbType": "Hive"}
+        (tmp_path / "d.json").write_text(json.dumps(fields, indent=1))
+        out = str(tmp_path / "out")
+        rb.copy_dataset(spark, str(tmp_path / "d.json"), out, "id + 1 AS n")
+        assert sorted(r.n for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
+        rb.copy_dataset(spark, str(tmp_path / "d.json"), out)
+        report = spark.read.parquet(out).filter("database = 'copied'").collect()
+        assert [tuple(r) for r in report] == [("copied", "numbers", 4)]
+    finally:
+        spark.sql("DROP DATABASE copied CASCADE")
+
+
+def test_copy_from_a_file_that_names_a_path(spark, tmp_path):
+    (tmp_path / "where.txt").write_text(f"{SF_DIR}/region\n.parquet\n")
+    loaded = rb.copy_dataset(spark, str(tmp_path / "where.txt"), None)
+    assert loaded.count() == 5
+
+
+def test_inventory(spark, tmp_path):
+    (tmp_path / "x y" / "deep").mkdir(parents=True)
+    (tmp_path / "a.txt").write_text("12345")
+    (tmp_path / "x y" / "b.txt").write_text("123")
+    (tmp_path / "x y" / "deep" / "c").write_text("1")
+    (tmp_path / "x y" / "deep" / "empty").write_text("")
+    (tmp_path / "x y" / "_hidden").write_text("1")
+    (tmp_path / "x y" / ".hidden").write_text("1")
+    files = rb.file_inventory(spark, str(tmp_path))
+    assert files.columns == ["path", "name", "parent", "length", "modification_time"]
+    root = f"file:{tmp_path}"
+    rows = sorted((r.path, r.name, r.parent, r.length) for r in files.collect())
+    assert rows == [
+        (f"{root}/a.txt", "a.txt", root, 5),
+        (f"{root}/x y/b.txt", "b.txt", f"{root}/x y", 3),
+        (f"{root}/x y/deep/c", "c", f"{root}/x y/deep", 1),
+    ]
+    total = files.agg(F.sum("length"), F.min("modification_time")).collect()[0]
+    assert total[0] == 9 and total[1].timestamp() > 1.5e9
+
+
+def test_inventory_of_the_tables(spark):
+    import os
+
+    files = rb.file_inventory(spark, SF_DIR).select("name", "length").collect()
+    assert {tuple(f) for f in files} == {
+        (name, os.path.getsize(f"{SF_DIR}/{name}")) for name in os.listdir(SF_DIR)
+    }

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import rollbook as rb
+
+# value, empty, int, double, json
+TEXTS = [
+    (None, True, False, False, False),
+    ("", True, False, False, False),
+    ("  ", False, False, False, False),
+    ("5", False, True, False, True),
+    ("-5", False, False, False, True),
+    ("12\n", False, False, False, True),
+    ("99999999999999999999", False, True, False, True),
+    ("007", False, True, False, False),
+    ("5.", False, False, False, False),
+    (".5", False, False, True, False),
+    ("+1.5", False, False, True, False),
+    ("-1.5", False, False, True, True),
+    ("1.5\n", False, False, False, True),
+    ("1e5", False, False, False, True),
+    ("1.5e5", False, False, False, True),
+    ("٣", False, False, False, False),
+    ('{"a":1}', False, False, False, True),
+    ("[1]", False, False, False, True),
+    ('"x"', False, False, False, True),
+    ("null", False, False, False, True),
+    ("true", False, False, False, True),
+    ("abc", False, False, False, False),
+    ("a b", False, False, False, False),
+    ("/data/x", False, False, False, False),
+    ("{a:1}", False, False, False, False),
+    ("{'a':1}", False, False, False, False),
+    ('{"a":1', False, False, False, False),
+    # Something after the first value, with wrappers closed early among them.
+    ('{"a":1} x', False, False, False, False),
+    ('{"a":1}{"b":2}', False, False, False, False),
+    ("1 , 2", False, False, False, False),
+    ('"x"], [2', False, False, False, False),
+    ('"x"], "v":[2', False, False, False, False),
+    ('"x"} , 1', False, False, False, False),
+    ('{"v":1},"w":2', False, False, False, False),
+    ('1,"v":2', False, False, False, False),
+    ('{"a":1,"a":2}', False, False, False, True),
+    ("NaN", False, False, False, False),
+    ("Infinity", False, False, False, False),
+    ("[1,]", False, False, False, False),
+    ('"a\nb"', False, False, False, False),
+    ("﻿1", False, False, False, False),
+]
+
+
+def test_edge_texts(spark):
+    numbered = [(i, text) for i, (text, *_) in enumerate(TEXTS)]
+    df = rb.classify_strings(spark.createDataFrame(numbered, "i int, t string"), ["t"])
+    assert df.columns == ["i", "t", "t_is_empty", "t_is_int", "t_is_double", "t_is_json"]
+    got = [(r.t, r.t_is_empty, r.t_is_int, r.t_is_double, r.t_is_json) for r in df.sort("i").collect()]
+    assert got == TEXTS
+
+
+def _strict_json(text: str) -> bool:
+    def refuse(constant):
+        raise ValueError(constant)
+
+    try:
+        json.loads(text, parse_constant=refuse)
+    except ValueError:
+        return False
+    return True
+
+
+def test_json_against_brute_force(spark):
+    chance = random.Random(7)
+    seeds = ['{"a": [1, -2.5e3, null], "b]": {"c": "x\\"}"}}', '[true, "],", {}]', '"q}"', "12.5", "false"]
+    pieces = ["]", "}", ",", "[", "{", '"', ":", " ", "1", "x", '"v":', "\\", "\n", "0", ".", "e", "'"]
+    texts = []
+    for _ in range(6000):
+        text = chance.choice(seeds)
+        for _ in range(chance.randint(0, 4)):
+            at = chance.randint(0, len(text))
+            cut = chance.choice([0, 0, 1, 3])
+            text = text[:at] + chance.choice(pieces + [""]) + text[at + cut :]
+        texts.append((text,))
+    checked = spark.createDataFrame(texts, "t string").select("t", rb.is_json(F.col("t")).alias("j"))
+    rows = checked.collect()
+    assert [(r.t, r.j) for r in rows if r.j != _strict_json(r.t)] == []
+    assert 500 < sum(r.j for r in rows) < 5500
+
+
+def test_flags_are_never_null(spark):
+    df = rb.classify_strings(spark.createDataFrame([(None,)], "t string"), ["t"])
+    assert None not in df.drop("t").collect()[0]
+
+
+def test_profile_counts_the_flags(spark):
+    texts = spark.createDataFrame([(t[0], t[0]) for t in TEXTS], "a string, b string")
+    profile = rb.profile_strings(texts, ["a", "b"])
+    assert profile.columns == ["column", "rows", "empties", "ints", "doubles", "jsons"]
+    counts = tuple(sum(t[k] for t in TEXTS) for k in range(1, 5))
+    expected = [(c, len(TEXTS), *counts) for c in ("a", "b")]
+    assert sorted(tuple(r) for r in profile.collect()) == expected
+
+
+def test_profile_of_no_rows(spark):
+    empty = spark.createDataFrame([], "a string")
+    assert [tuple(r) for r in rb.profile_strings(empty, ["a"]).collect()] == [("a", 0, 0, 0, 0, 0)]
+
+
+def test_replace_nulls(spark):
+    df = spark.createDataFrame([(None, None, None), ("x", " ", 1)], "a string, b string, n int")
+    rows = lambda out: [tuple(r) for r in out.collect()]
+    assert rows(rb.replace_nulls(df, ["a"])) == [("", None, None), ("x", " ", 1)]
+    assert rows(rb.replace_nulls(df)) == [("", "", None), ("x", " ", 1)]
+    with pytest.raises(TypeError):
+        rb.replace_nulls(df, ["n"])

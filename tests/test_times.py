@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+import rollbook as rb
+
+
+def test_time_string_drops_the_fraction(spark):
+    df = spark.createDataFrame([(1582675200999,), (-1,), (0,), (None,)], "ms bigint")
+    times = [r.time for r in rb.with_time_string(df, "ms", "time").collect()]
+    assert times == ["2020-02-26 00:00:00", "1969-12-31 23:59:59", "1970-01-01 00:00:00", None]
+
+
+def test_time_string_is_in_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        df = rb.with_time_string(spark.createDataFrame([(0,)], "ms bigint"), "ms", "time")
+        assert df.collect()[0].time == "1970-01-01 08:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_month_bounds(spark):
+    days = ["2020-02-01", "2020-02-29", "2019-02-10", "2020-12-31", None]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("date"))
+    date = datetime.date
+    assert [tuple(r)[1:] for r in rb.with_month_bounds(df, "d").collect()] == [
+        (date(2020, 2, 1), date(2020, 2, 29)),
+        (date(2020, 2, 1), date(2020, 2, 29)),
+        (date(2019, 2, 1), date(2019, 2, 28)),
+        (date(2020, 12, 1), date(2020, 12, 31)),
+        (None, None),
+    ]
+
+
+def test_month_bounds_of_today(spark):
+    df = rb.with_month_bounds(spark.range(1).select(F.current_date().alias("d")), "d")
+    row = df.collect()[0]
+    assert row.month_start == row.d.replace(day=1)
+    assert (row.month_end + datetime.timedelta(days=1)).day == 1

@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.ml.linalg import DenseVector, Vectors, VectorUDT
+
+import rollbook as rb
+
+
+def test_labeled_points_from_arrays(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.5]), (0, [])], "y int, x array<float>")
+    points = rb.labeled_points(df, "y", "x")
+    assert [(f.name, f.dataType.simpleString()) for f in points.schema] == [
+        ("label", "double"),
+        ("features", "vector"),
+    ]
+    assert [tuple(r) for r in points.collect()] == [
+        (1.0, DenseVector([1.0, 2.5])),
+        (0.0, DenseVector([])),
+    ]
+
+
+def test_vectors_pass_through(spark):
+    sparse = Vectors.sparse(3, {1: 2.0})
+    df = spark.createDataFrame([(7, sparse)], ["n", "v"])
+    assert tuple(rb.unlabeled_vectors(df, "n", "v").collect()[0]) == (7.0, sparse)
+    assert tuple(rb.labeled_points(df, "n", "v").collect()[0]) == (7.0, sparse)
+
+
+def test_unlabeled_vectors_from_arrays(spark):
+    df = spark.createDataFrame([(5, [1, 2])], "i bigint, x array<int>")
+    vectors = rb.unlabeled_vectors(df, "i", "x")
+    assert vectors.columns == ["id", "features"]
+    assert isinstance(vectors.schema["features"].dataType, VectorUDT)
+    assert tuple(vectors.collect()[0]) == (5.0, DenseVector([1.0, 2.0]))
+
+
+def test_null_features_stay_null(spark):
+    df = spark.createDataFrame([(1, None)], "y int, x array<double>")
+    assert rb.labeled_points(df, "y", "x").collect()[0].features is None
+
+
+def test_a_null_feature_fails(spark):
+    df = spark.createDataFrame([(1, [1.0, None])], "y int, x array<double>")
+    with pytest.raises(Exception, match="NULL value"):
+        rb.labeled_points(df, "y", "x").collect()
+
+
+def test_other_types_are_refused(spark):
+    with pytest.raises(TypeError):
+        rb.labeled_points(spark.createDataFrame([(1, "x")], "y int, x string"), "y", "x")
