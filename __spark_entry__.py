@@ -43,11 +43,17 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _register(spark: SparkSession, sf_dir: str, database: str, tables: list[str]) -> str:
-    """A database of external tables over the given files; no data is copied."""
+    """A database of external tables over the given files; no data is copied.
+
+    Its comment says which folder it is for, so that it is made once per folder.
+    """
+    if spark.catalog.databaseExists(database):
+        if spark.catalog.getDatabase(database).description == sf_dir:
+            return database
+        spark.sql(f"DROP DATABASE {database} CASCADE")
     location = scratch_path(spark, database)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE {database} COMMENT '{sf_dir}' LOCATION '{location}'")
     for table in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
         spark.catalog.createTable(
             f"{database}.{table}", path=f"{sf_dir}/{table}.parquet", source="parquet"
         )

@@ -35,12 +35,11 @@ def cells(events: DataFrame) -> DataFrame:
             value.cast("string").alias("value"),
         )
 
-    present = F.array_compact(
-        F.array(
-            cell("meta", "type", 0, kind),
-            F.when(kind != "error", cell("meta", "user", 0, F.col("user_id"))),
-            F.when(kind == "click", cell("meta", "user", 1, F.col("user_id") + 1000)),
-            F.when(kind == "signup", cell("flag", "late", 0, F.lit("1"))),
-        )
+    possible = F.array(
+        cell("meta", "type", 0, kind),
+        F.when(kind != "error", cell("meta", "user", 0, F.col("user_id"))),
+        F.when(kind == "click", cell("meta", "user", 1, F.col("user_id") + 1000)),
+        F.when(kind == "signup", cell("flag", "late", 0, F.lit("1"))),
     )
-    return events.select(F.col("event_id").cast("string").alias("row_key"), F.inline(present))
+    row_key = F.col("event_id").cast("string").alias("row_key")
+    return events.select(row_key, F.inline(possible)).filter("family IS NOT NULL")

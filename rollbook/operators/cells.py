@@ -7,7 +7,7 @@ largest ``ts`` is the newest.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELL_KEY = ["row_key", "family", "qualifier"]
@@ -110,24 +110,21 @@ def cells_select(cells: DataFrame, request: str) -> DataFrame:
 
 
 def _column_pairs(cells: DataFrame, max_columns: int) -> DataFrame:
-    """Distinct (family, qualifier), failing where a family has over ``max_columns``."""
-    pairs = cells.select("family", "qualifier").distinct()
-    position = F.row_number().over(Window.partitionBy("family").orderBy("qualifier"))
-    too_many = F.raise_error(
-        F.concat(F.lit(f"over {max_columns} columns in family "), F.col("family"))
-    ).cast("string")
-    return pairs.withColumn("position", position).select(
-        "family",
-        F.when(F.col("position") > max_columns, too_many)
-        .otherwise(F.col("qualifier"))
-        .alias("qualifier"),
-    )
+    """Distinct (family, qualifier): all of them, or one more than allowed."""
+    return cells.select("family", "qualifier").distinct().limit(max_columns + 1)
 
 
 def cell_columns(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """``family, columns``: the qualifiers of each family in order, joined with ``:``."""
+    """``family, columns``: the qualifiers of each family in order, joined with ``:``.
+
+    Over ``max_columns`` qualifiers in all is an error.
+    """
+    found = F.sort_array(F.collect_list(F.struct("family", "qualifier")))
+    too_many = F.raise_error(F.lit(f"over {max_columns} columns"))
     return (
         _column_pairs(cells, max_columns)
+        .agg(found.alias("found"))
+        .select(F.inline(F.when(F.size("found") > max_columns, too_many).otherwise(F.col("found"))))
         .groupBy("family")
         .agg(F.concat_ws(":", F.sort_array(F.collect_list("qualifier"))).alias("columns"))
     )
@@ -139,7 +136,7 @@ def cells_pivot(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
     The column names are read first, in a job of their own; over ``max_columns``
     of them is an error. Where the names are known, ``cells_select`` saves that job.
     """
-    found = cells.select("family", "qualifier").distinct().limit(max_columns + 1).collect()
+    found = _column_pairs(cells, max_columns).collect()
     if len(found) > max_columns:
         raise ValueError(f"over {max_columns} columns; select the ones needed")
     columns = sorted((row["family"], row["qualifier"]) for row in found)

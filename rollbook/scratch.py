@@ -2,31 +2,32 @@
 
 from __future__ import annotations
 
-import atexit
-import functools
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-@functools.cache
-def _own_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="rollbook-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
+def hadoop_file(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and ``path`` as it knows it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, under the folder all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    may leave it unset; it then gets a temporary folder that goes with the process.
+    That folder is the session's ``spark.checkpoint.dir``; only a local session
+    may leave it unset. What the application wrote there goes when it ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = _own_folder()
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        shared = tempfile.gettempdir()
+    folder = f"{shared.rstrip('/')}/rollbook-{spark.sparkContext.applicationId}"
+    file_system, location = hadoop_file(spark, folder)
+    if not file_system.exists(location):
+        file_system.mkdirs(location)
+        file_system.deleteOnExit(location)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"

@@ -9,6 +9,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 
 from rollbook.operators.cells import cells_pivot, cells_select
+from rollbook.scratch import hadoop_file
 from rollbook.sources.readers import joined_lines, read_parquet, read_text
 from rollbook.sources.tables import read_table
 
@@ -62,6 +63,8 @@ def load_source(
     if descriptor is None:
         return read_parquet(spark, source)
     if descriptor.dbType == HIVE:
+        if columns and not (descriptor.dbName and descriptor.tableName):
+            raise ValueError("the descriptor needs a dbName and a tableName to load columns")
         return read_table(spark, descriptor.dbName, descriptor.tableName, columns)
     if cells is None:
         raise ValueError(
@@ -79,8 +82,7 @@ def source_text(spark: SparkSession, path: str) -> str:
     A folder or a Parquet file stands for itself; any other file holds the
     descriptor (or the path) in its lines.
     """
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    file_system, location = hadoop_file(spark, path)
     status = file_system.getFileStatus(location)
     if status.isDirectory() or path.endswith(".parquet"):
         return path

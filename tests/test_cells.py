@@ -120,9 +120,10 @@ def test_cell_columns(spark):
     rows = [("a", "f", "y", 1, ""), ("b", "f", "x", 1, ""), ("b", "f", "y", 2, ""), ("a", "e", "z", 1, "")]
     cells = _cells(spark, rows)
     assert _rows(rb.cell_columns(cells)) == [("e", "z"), ("f", "x:y")]
-    assert _rows(rb.cell_columns(cells, max_columns=2)) == [("e", "z"), ("f", "x:y")]
-    with pytest.raises(Exception, match="over 1 columns in family f"):
-        rb.cell_columns(cells, max_columns=1).collect()
+    assert _rows(rb.cell_columns(cells, max_columns=3)) == [("e", "z"), ("f", "x:y")]
+    with pytest.raises(Exception, match="over 2 columns"):
+        rb.cell_columns(cells, max_columns=2).collect()
+    assert _rows(rb.cell_columns(_cells(spark, []))) == []
 
 
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])

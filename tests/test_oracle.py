@@ -51,3 +51,11 @@ def test_known_counts(spark):
 
 def test_entry(spark):
     assert driver.entry(spark).collect()[0].total_users == 457
+
+
+def test_queries_follow_the_folder(spark):
+    counts = [
+        [row.rows for row in driver.load_source_report(spark, f"/root/testdata/{sf}").collect()]
+        for sf in ("sf0.001", "sf0.01", "sf0.001")
+    ]
+    assert counts == [[1500], [15000], [1500]]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +117,11 @@ def test_load_source_branches(spark, shop):
     assert rb.load_source(spark, spread, ["n_name"]).count() == 25
 
 
+def test_a_table_descriptor_must_name_the_table(spark):
+    with pytest.raises(ValueError, match="tableName"):
+        rb.load_source(spark, _text(tableName=None), "n_name")
+
+
 @pytest.mark.parametrize("db_type", ["hive", "HBase", None])
 def test_other_types_need_cells(spark, db_type):
     with pytest.raises(ValueError, match="dbType"):
@@ -169,7 +175,16 @@ def test_read_text(spark, tmp_path):
 def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert first.startswith(f"{shared}/x-") and first != second
+    assert first.startswith(f"{shared}/rollbook-") and first != second
+
+
+def test_only_a_local_session_may_do_without_a_shared_folder(spark, monkeypatch):
+    settings = {"spark.checkpoint.dir": None, "spark.master": "yarn"}
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: settings[key])
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(spark, "x")
+    settings["spark.master"] = "local[8]"
+    assert scratch_path(spark, "x").startswith(tempfile.gettempdir())
 
 
 def test_orc_round_trip(spark, tmp_path):
