@@ -275,7 +275,11 @@ def with_time_string(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_month_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return rb.with_month_bounds(orders, "o_orderdate").drop("o_orderdate")
+    bounds = rb.with_month_bounds(orders, "o_orderdate")
+    # As text, in the form yyyy-MM-dd.
+    return bounds.select(
+        "o_orderkey", *[F.col(c).cast("string").alias(c) for c in ("month_start", "month_end")]
+    )
 
 
 def set_nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -498,8 +502,8 @@ def oracle_sql() -> dict[str, str]:
         "with_time_string": """
             SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time FROM events""",
         "with_month_bounds": """
-            SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS date) AS month_start,
-                   last_day(o_orderdate) AS month_end
+            SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month_start,
+                   strftime(last_day(o_orderdate), '%Y-%m-%d') AS month_end
             FROM orders""",
         "set_nullable": "SELECT * FROM customer",
         "labeled_points": """

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 CELL_KEY = ["row_key", "family", "qualifier"]
 
-# Up to this many columns a row is put together in a single shuffle. The work
-# per cell grows with the columns there; beyond, it no longer does.
+# Up to this many columns a row is put together in a single shuffle, at a cost per
+# cell that grows with the columns. Beyond, a second shuffle is the lesser cost.
 NARROW_COLUMNS = 100
 
 # As many as Spark's own pivot takes by default (spark.sql.pivotMaxValues).
@@ -63,8 +63,7 @@ def _wide_table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     """Cells first down to one version each, then gathered by row.
 
     The first step leaves a hot row at most one cell per column, so what the
-    second gathers is bounded by the number of columns. Shuffled are cells, not
-    rows of mostly null columns.
+    second gathers is bounded by the number of columns.
     """
     # The broadcast side has a row per output column: MAX_COLUMNS, or the request.
     positions = cells.sparkSession.createDataFrame(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,29 @@ def test_job_counts_writes_and_names_the_column(spark, customers, tmp_path):
     assert spark.read.parquet(str(tmp_path / "counted")).collect()[0].xzyhs == 2
 
 
+def test_counts_against_brute_force(spark):
+    chance = random.Random(3)
+    days = [f"2020-0{m}-{d:02} {h}:00:00" for m in (1, 2, 3) for d in (1, 9, 28) for h in ("00", "12")]
+    rows = [
+        (chance.choice([*days, None]), chance.choice(["9", "9", "1", "", None]), chance.choice([*days, None]))
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "b string, sgstatus string, c string").select(
+        F.col("b").cast("timestamp_ntz").alias("builddate"),
+        "sgstatus",
+        F.col("c").cast("timestamp_ntz").alias("canceldate"),
+    )
+
+    def active(status, cancelled, cutoff):
+        return status is not None and (status != "9" or (cancelled is not None and cancelled >= cutoff))
+
+    for begin, end in [(days[0], days[5]), (days[3], days[4]), (days[2], days[-1])]:
+        total = sum(b is not None and b < end and active(s, c, end) for b, s, c in rows)
+        new = sum(b is not None and begin <= b < end and active(s, c, end) for b, s, c in rows)
+        assert rb.total_users(df, end).collect()[0].total_users == total
+        assert rb.new_users(df, begin, end).collect()[0].new_users == new
+
+
 @pytest.mark.parametrize("data_type", [StringType(), TimestampType()])
 def test_predicate_takes_the_column_type(spark, data_type):
     df = spark.range(1).select(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml.linalg import DenseVector, Vectors, VectorUDT
+from pyspark.mllib.linalg import Vectors as OldVectors
 
 import rollbook as rb
 
@@ -26,6 +27,16 @@ def test_vectors_pass_through(spark):
     assert tuple(rb.labeled_points(df, "n", "v").collect()[0]) == (7.0, sparse)
 
 
+def test_vectors_of_the_older_library_are_converted(spark):
+    rows = [(1, OldVectors.dense([1.0, 2.0])), (2, OldVectors.sparse(2, {1: 3.0}))]
+    points = rb.labeled_points(spark.createDataFrame(rows, ["y", "x"]), "y", "x")
+    assert isinstance(points.schema["features"].dataType, VectorUDT)
+    assert [r.features for r in points.collect()] == [
+        DenseVector([1.0, 2.0]),
+        Vectors.sparse(2, {1: 3.0}),
+    ]
+
+
 def test_unlabeled_vectors_from_arrays(spark):
     df = spark.createDataFrame([(5, [1, 2])], "i bigint, x array<int>")
     vectors = rb.unlabeled_vectors(df, "i", "x")
