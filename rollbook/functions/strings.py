@@ -13,8 +13,11 @@ from pyspark.sql.types import StringType
 INT_PATTERN = r"\A\d+\z"
 DOUBLE_PATTERN = r"\A[-+]?\d*[.]\d+\z"
 
-# What a JSON value can begin with.
-JSON_START = r'\A[ \t\r\n]*[-\[{"0-9tfn]'
+# The JSON grammar's numbers and words, and what other JSON values begin with.
+JSON_SCALAR = (
+    r"\A[ \t\r\n]*(?:-?(?:0|[1-9]\d*)(?:[.]\d+)?(?:[eE][-+]?\d+)?|true|false|null)[ \t\r\n]*\z"
+)
+JSON_OPENING = r'\A[ \t\r\n]*[\[{"]'
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
@@ -34,14 +37,15 @@ def is_double(text: Column) -> Column:
 def is_json(text: Column) -> Column:
     """Strict JSON of any kind, and nothing after it.
 
-    Spark's parsers stop at the end of the first value and ignore what follows.
-    So the text is parsed inside ``[ ]`` and inside ``{"v": }``: text that closes
-    the one wrapper early cannot close the other, and only a single complete
-    value passes both.
+    Numbers and words are matched. For the rest, Spark's parsers stop at the end
+    of the first value and ignore what follows. So the text is parsed inside
+    ``[ ]`` and inside ``{"v": }``: text that closes the one wrapper early cannot
+    close the other, and only a single complete value passes both.
     """
-    # Each test is dearer than the one before and only sees what passed it: words
-    # and prose fail on their first character, most other text in the list.
-    may_be = F.coalesce(text.rlike(JSON_START), F.lit(False))
+    # Each test is dearer than the one before and only sees what needs it: plain
+    # words and prose fail on their first character, broken text in the list.
+    scalar = F.coalesce(text.rlike(JSON_SCALAR), F.lit(False))
+    opens = F.coalesce(text.rlike(JSON_OPENING), F.lit(False))
     in_list = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     # The variant parser is the fastest strict one, but refuses repeated keys.
     in_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
@@ -49,7 +53,7 @@ def is_json(text: Column) -> Column:
         F.try_parse_json(in_object).isNotNull()
         | F.from_json(in_object, "map<string,string>", STRICT_JSON).isNotNull()
     )
-    return may_be & F.coalesce(in_list, F.lit(False)) & strict
+    return scalar | (opens & F.coalesce(in_list, F.lit(False)) & strict)
 
 
 CHECKS = {"is_empty": is_empty, "is_int": is_int, "is_double": is_double, "is_json": is_json}

@@ -25,6 +25,13 @@ TEXTS = [
     ("1.5\n", False, False, False, True),
     ("1e5", False, False, False, True),
     ("1.5e5", False, False, False, True),
+    (" -0.5E-3\t", False, False, False, True),
+    ("1e", False, False, False, False),
+    ("-", False, False, False, False),
+    ("1" * 5000, False, True, False, True),
+    ("\r\n false", False, False, False, True),
+    ("truefalse", False, False, False, False),
+    ("\u00a05", False, False, False, False),
     ("٣", False, False, False, False),
     ('{"a":1}', False, False, False, True),
     ("[1]", False, False, False, True),
@@ -76,7 +83,7 @@ def _strict_json(text: str) -> bool:
 
 def test_json_against_brute_force(spark):
     chance = random.Random(7)
-    seeds = ['{"a": [1, -2.5e3, null], "b]": {"c": "x\\"}"}}', '[true, "],", {}]', '"q}"', "12.5", "false"]
+    seeds = ["-1.25e+30", "null", "true", '{"a": [1, -2.5e3, null], "b]": {"c": "x\\"}"}}', '[true, "],", {}]', '"q}"', "12.5", "false"]
     pieces = ["]", "}", ",", "[", "{", '"', ":", " ", "1", "x", '"v":', "\\", "\n", "0", ".", "e", "'"]
     texts = []
     for _ in range(6000):
