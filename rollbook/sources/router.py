@@ -82,9 +82,11 @@ def source_text(spark: SparkSession, path: str) -> str:
     A folder or a Parquet file stands for itself; any other file holds the
     descriptor (or the path) in its lines.
     """
+    if path.endswith(".parquet"):
+        return path
     file_system, location = hadoop_file(spark, path)
     status = file_system.getFileStatus(location)
-    if status.isDirectory() or path.endswith(".parquet"):
+    if status.isDirectory():
         return path
     if status.getLen() > MAX_DESCRIPTOR_BYTES:
         raise ValueError(f"{path} has {status.getLen()} bytes, too many for a source descriptor")

@@ -90,6 +90,17 @@ def test_report_leaves_the_current_database(spark, shop):
     assert spark.catalog.currentDatabase() == before
 
 
+def test_odd_names(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE `2020` LOCATION '{tmp_path}'")
+    try:
+        spark.sql("CREATE TABLE `2020`.`select` USING parquet AS SELECT * FROM range(2)")
+        report = rb.table_row_counts(spark).filter("database = '2020'")
+        assert _rows(report) == [("2020", "select", 2)]
+        assert rb.read_table(spark, "2020", "select", "id").count() == 2
+    finally:
+        spark.sql("DROP DATABASE `2020` CASCADE")
+
+
 def test_report_over_many_tables(spark, tmp_path):
     spark.sql(f"CREATE DATABASE many LOCATION '{tmp_path}'")
     try:
