@@ -45,7 +45,9 @@ def table_row_counts(
     by name. All tables are counted by one job; a filter on ``database`` or
     ``table`` removes the other tables from the plan before anything is read.
     """
-    databases = sorted(database.name for database in spark.catalog.listDatabases())
+    # Spark quotes a database name in its lists where SQL needs it quoted.
+    shown = spark.sql("SHOW DATABASES").collect()
+    databases = sorted(row["namespace"].strip("`") for row in shown)
     counts = [
         spark.table(_quoted(db, table))
         .agg(F.count("*").alias("rows"))
