@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, sharding, streaming_dedup, url_filters
+from . import (
+    chat,
+    decontamination,
+    jaccard_join,
+    mixing,
+    pii,
+    resampling,
+    sharding,
+    streaming_dedup,
+    toxicity,
+    url_filters,
+)
 from .store import stored
 from .words import spaced_words
 
@@ -37,6 +48,34 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.toxicity_score(model, F.col("text")).alias("score"),
+    )
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.withColumn("predicted", predicted)
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    terms = F.transform(
+        "terms", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["stop"].alias("stop"))
+    )
+    return found.select(
+        "doc_id", *[pii.count_kind(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.concat(base, terms)).alias("spans"),
+    )
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filters.path_rule(verdict, rule) for verdict, rule in URL_RULES]
     judged = url_filters.filter_urls(_table(spark, sf_dir, "pages"), rules)
@@ -88,6 +127,18 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chat(_table(spark, sf_dir, "conversations"))
+
+
+def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    good = labels.filter("quality = 1").select("doc_id")
+    ratios = resampling.log_ratios(docs, good)
+    sample = resampling.resample(docs, ratios)
+    return sample.select("doc_id", "log_weight", "key", F.lit(True).alias("kept"))
+
+
 def op10_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = streaming_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -210,11 +261,19 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 def queries() -> dict[str, Query]:
     return {
-        "op1_decontamination": op1_decontamination,
-        "op5_url_filters": op5_url_filters,
-        "op6_mixing": op6_mixing,
-        "op7_sharding": op7_sharding,
-        "op10_streaming_dedup": op10_streaming_dedup,
+        query.__name__: query
+        for query in (
+            op1_decontamination,
+            op2_toxicity,
+            op3_jaccard_join,
+            op4_pii,
+            op5_url_filters,
+            op6_mixing,
+            op7_sharding,
+            op8_chat_formatting,
+            op9_quality_resampling,
+            op10_streaming_dedup,
+        )
     }
 
 
