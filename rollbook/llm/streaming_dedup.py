@@ -12,7 +12,11 @@ from ..scratch import scratch_path
 from .store import stored
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Keyed state on disk. RocksDB would set aside some megabytes in advance for each partition.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: A group with more than one in this many rows is looked up by broadcast; there are fewer
 #: such groups than this number.
 HOT = 1000
@@ -31,12 +35,14 @@ def sha256(text: Column) -> Column:
 
 @contextmanager
 def _state_on_disk(spark: SparkSession):
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def absorb(
