@@ -188,6 +188,18 @@ def copy_dataset_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rb.read_parquet(spark, f"{folder}/copy")
 
 
+def copy_dataset_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "copy_dataset_cells")
+    descriptor = spark.createDataFrame(
+        [(_descriptor("HBase", "shop", "events"),)], "value string"
+    ).coalesce(1)
+    rb.write_text(descriptor, f"{folder}/descriptor")
+    held_in = rb.file_inventory(spark, f"{folder}/descriptor").filter("length > 0").first()["path"]
+    request = "meta:type,flag:late"
+    rb.copy_dataset(spark, held_in, f"{folder}/copy", request, cells=_cells(spark, sf_dir))
+    return _underscored(rb.read_parquet(spark, f"{folder}/copy"))
+
+
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "file_inventory")
     orders = _load(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority")
@@ -231,13 +243,14 @@ def cell_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cells_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _cells(spark, sf_dir)
+    failed = F.col("event_type") == "error"
     targets = (
         _load(spark, sf_dir, "events")
-        .filter(F.col("event_type").isin("click", "signup"))
+        .filter(F.col("event_type").isin("click", "signup", "error"))
         .select(
             F.col("event_id").cast("string").alias("row_key"),
-            F.lit("meta").alias("family"),
-            F.lit("user").alias("qualifier"),
+            F.when(failed, "flag").otherwise("meta").alias("family"),
+            F.when(failed, "late").otherwise("user").alias("qualifier"),
         )
     )
     return rb.cells_drop(cells, targets)
@@ -312,9 +325,9 @@ def entry(spark: SparkSession) -> DataFrame:
     return total_users(spark, FLAGSHIP_DIR)
 
 
-def queries() -> dict[str, Query]:
+def own_queries() -> dict[str, Query]:
     """One entry per operator, and one more for each further branch of some."""
-    own = {
+    return {
         query.__name__: query
         for query in (
             read_parquet,
@@ -332,6 +345,7 @@ def queries() -> dict[str, Query]:
             write_text,
             copy_dataset,
             copy_dataset_descriptor,
+            copy_dataset_cells,
             file_inventory,
             total_users,
             new_users,
@@ -351,11 +365,16 @@ def queries() -> dict[str, Query]:
             unlabeled_vectors,
         )
     }
+
+
+def queries() -> dict[str, Query]:
+    """Those of the library, and those of training-data pipelines where they are present."""
+    found = own_queries()
     if llm_queries:
-        own |= llm_queries.queries()
+        found |= llm_queries.queries()
     if corpus_pipeline:
-        own["pipeline"] = corpus_pipeline.run
-    return own
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 CONSUMER_SQL = """
@@ -381,8 +400,17 @@ CELLS_SQL = """
         SELECT CAST(event_id AS varchar), 'meta', 'user', 1, CAST(user_id + 1000 AS varchar)
         FROM events WHERE event_type = 'click'
         UNION ALL
+        SELECT CAST(event_id AS varchar), 'meta', 'user', NULL, CAST(user_id + 2000 AS varchar)
+        FROM events WHERE event_type = 'click'
+        UNION ALL
+        SELECT CAST(event_id AS varchar), 'meta', 'user', 0, CAST(user_id + 500 AS varchar)
+        FROM events WHERE event_type = 'signup'
+        UNION ALL
         SELECT CAST(event_id AS varchar), 'flag', 'late', 0, '1'
         FROM events WHERE event_type = 'signup'
+        UNION ALL
+        SELECT CAST(event_id AS varchar), 'flag', 'late', NULL, '0'
+        FROM events WHERE event_type = 'error'
     )
 """
 
@@ -398,7 +426,8 @@ STRINGS_SQL = """
 
 def _newest_sql(family: str, qualifier: str) -> str:
     where = f"family = '{family}' AND qualifier = '{qualifier}'"
-    return f"max_by(value, ts) FILTER (WHERE {where}) AS {family}_{qualifier}"
+    versions = "value ORDER BY ts DESC NULLS LAST, value DESC NULLS LAST"
+    return f"(list({versions}) FILTER (WHERE {where}))[1] AS {family}_{qualifier}"
 
 
 def _flags_sql(column: str) -> dict[str, str]:
@@ -460,6 +489,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT md5({one_line}) AS line_md5, count(*) AS copies FROM documents GROUP BY ALL""",
         "copy_dataset": "SELECT * FROM supplier",
         "copy_dataset_descriptor": "SELECT conv_id, turn, upper(role) AS role FROM conversations",
+        "copy_dataset_cells": f"""
+            WITH {CELLS_SQL}
+            SELECT row_key, {_newest_sql("meta", "type")}, {_newest_sql("flag", "late")}
+            FROM cells WHERE (family, qualifier) IN (('meta', 'type'), ('flag', 'late'))
+            GROUP BY row_key""",
         "file_inventory": """
             SELECT 'o_orderstatus=' || o_orderstatus AS folder,
                    CAST(sum(strlen(o_orderpriority) + 1) AS bigint) AS bytes
@@ -496,16 +530,21 @@ def oracle_sql() -> dict[str, str]:
             WITH {CELLS_SQL},
             ranked AS (
                 SELECT *, row_number() OVER (
-                    PARTITION BY row_key, family, qualifier ORDER BY ts DESC) AS age
+                    PARTITION BY row_key, family, qualifier
+                    ORDER BY ts DESC NULLS LAST, value DESC NULLS LAST) AS age
                 FROM cells
             ),
             targets AS (
-                SELECT CAST(event_id AS varchar) AS row_key FROM events
-                WHERE event_type IN ('click', 'signup')
+                SELECT CAST(event_id AS varchar) AS row_key, 'meta' AS family,
+                       'user' AS qualifier
+                FROM events WHERE event_type IN ('click', 'signup')
+                UNION ALL
+                SELECT CAST(event_id AS varchar), 'flag', 'late'
+                FROM events WHERE event_type = 'error'
             )
             SELECT row_key, family, qualifier, ts, value FROM ranked
-            WHERE NOT (age = 1 AND family = 'meta' AND qualifier = 'user'
-                       AND row_key IN (SELECT row_key FROM targets))""",
+            WHERE NOT (age = 1
+                       AND (row_key, family, qualifier) IN (SELECT * FROM targets))""",
         "classify_strings": f"""
             WITH {STRINGS_SQL} SELECT *, {_classify_sql(["props", "id", "mixed"])} FROM strings""",
         "classify_strings_documents": f"SELECT doc_id, {_classify_sql(['text'])} FROM documents",

@@ -24,7 +24,10 @@ def consumer(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def cells(events: DataFrame) -> DataFrame:
-    """Cells of each event, in one pass: some rows lack some, and some have two versions."""
+    """Cells of each event, in one pass: rows lack some, and some have several versions.
+
+    Among the versions are ties of ``ts`` and null ones.
+    """
     kind = F.col("event_type")
 
     def cell(family, qualifier, ts, value):
@@ -39,7 +42,10 @@ def cells(events: DataFrame) -> DataFrame:
         cell("meta", "type", 0, kind),
         F.when(kind != "error", cell("meta", "user", 0, F.col("user_id"))),
         F.when(kind == "click", cell("meta", "user", 1, F.col("user_id") + 1000)),
+        F.when(kind == "click", cell("meta", "user", None, F.col("user_id") + 2000)),
+        F.when(kind == "signup", cell("meta", "user", 0, F.col("user_id") + 500)),
         F.when(kind == "signup", cell("flag", "late", 0, F.lit("1"))),
+        F.when(kind == "error", cell("flag", "late", None, F.lit("0"))),
     )
     row_key = F.col("event_id").cast("string").alias("row_key")
     return events.select(row_key, F.inline(possible)).filter("family IS NOT NULL")

@@ -21,6 +21,11 @@ JSON_OPENING = r'\A[ \t\r\n]*[\[{"]'
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+def _column(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_empty(text: Column) -> Column:
     """Null or of length 0; blanks count as text."""
     return text.isNull() | (F.length(text) == 0)
@@ -41,6 +46,9 @@ def is_json(text: Column) -> Column:
     of the first value and ignore what follows. So the text is parsed inside
     ``[ ]`` and inside ``{"v": }``: text that closes the one wrapper early cannot
     close the other, and only a single complete value passes both.
+
+    Spark's parsers end at 1,000 levels of nesting, and at numbers of over 1,000 digits
+    and strings of over 20 million characters inside; such text counts as no JSON.
     """
     # Each test is dearer than the one before and only sees what needs it: plain
     # words and prose fail on their first character, broken text in the list.
@@ -62,7 +70,7 @@ CHECKS = {"is_empty": is_empty, "is_int": is_int, "is_double": is_double, "is_js
 def classify_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<c>_is_empty``, ``_is_int``, ``_is_double`` and ``_is_json`` per column."""
     return df.withColumns(
-        {f"{c}_{name}": check(F.col(c)) for c in columns for name, check in CHECKS.items()}
+        {f"{c}_{name}": check(_column(c)) for c in columns for name, check in CHECKS.items()}
     )
 
 
@@ -71,16 +79,18 @@ def profile_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     All columns are counted in one pass over the data.
     """
+    if not columns:
+        raise ValueError("no columns to profile")
     counted = df.agg(
         F.array(
             *[
                 F.struct(
                     F.lit(c).alias("column"),
                     F.count("*").alias("rows"),
-                    F.count_if(is_empty(F.col(c))).alias("empties"),
-                    F.count_if(is_int(F.col(c))).alias("ints"),
-                    F.count_if(is_double(F.col(c))).alias("doubles"),
-                    F.count_if(is_json(F.col(c))).alias("jsons"),
+                    F.count_if(is_empty(_column(c))).alias("empties"),
+                    F.count_if(is_int(_column(c))).alias("ints"),
+                    F.count_if(is_double(_column(c))).alias("doubles"),
+                    F.count_if(is_json(_column(c))).alias("jsons"),
                 )
                 for c in columns
             ]
@@ -91,7 +101,9 @@ def profile_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def replace_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Put ``""`` for null in the given string columns, or in all of them."""
-    for c in columns or []:
-        if not isinstance(df.select(c).schema[0].dataType, StringType):
+    if columns is None:
+        return df.na.fill("")
+    for c in columns:
+        if not isinstance(df.select(_column(c)).schema[0].dataType, StringType):
             raise TypeError(f"column {c} is not a string column")
-    return df.na.fill("", None if columns is None else list(columns))
+    return df.withColumns({c: F.coalesce(_column(c), F.lit("")) for c in columns})

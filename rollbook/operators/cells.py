@@ -1,23 +1,25 @@
 """Sparse cells of a wide-column store as tables.
 
 ``cells`` is a DataFrame ``row_key string, family string, qualifier string,
-ts bigint, value string``; of several versions of a cell the one with the
-largest ``ts`` is the newest.
+ts bigint, value string``. Of several versions of a cell the one with the
+largest ``ts`` is the newest, of those the one with the largest ``value``; null
+comes before everything, and equal rows are one version. Family and qualifier
+may be null, in all four operators; a column's name then has nothing in that place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELL_KEY = ["row_key", "family", "qualifier"]
 
-# Up to this many columns a row is put together in a single shuffle, at a cost per
-# cell that grows with the columns. Beyond, a second shuffle is the lesser cost.
-NARROW_COLUMNS = 100
+# Parts that the versions of a cell are dealt to, so that a hot one is not one task's.
+LOTS = 16
 
-# As many as Spark's own pivot takes by default (spark.sql.pivotMaxValues).
-MAX_COLUMNS = 10_000
+Pair = tuple[str | None, str | None]
 
 
 def parse_columns(request: str) -> list[tuple[str, str]]:
@@ -31,49 +33,48 @@ def parse_columns(request: str) -> list[tuple[str, str]]:
     return list(dict.fromkeys(pairs))
 
 
-def _wanted(columns: list[tuple[str, str]]) -> Column:
-    by_family: dict[str, list[str]] = {}
+def _wanted(columns: Sequence[Pair]) -> Column:
+    by_family: dict[str | None, list[str | None]] = {}
     for family, qualifier in columns:
         by_family.setdefault(family, []).append(qualifier)
     wanted = F.lit(False)
     for family, qualifiers in by_family.items():
-        wanted |= (F.col("family") == family) & F.col("qualifier").isin(qualifiers)
+        own = F.col("family").isNull() if family is None else F.col("family") == family
+        named = F.col("qualifier").isin([q for q in qualifiers if q is not None])
+        if None in qualifiers:
+            named |= F.col("qualifier").isNull()
+        wanted |= own & named
     return wanted
 
 
-def _newest(of: Column | None = None) -> Column:
-    # The value breaks ties of ts, so that a task run again gives the same row.
-    version = F.struct("ts", "value")
-    return F.max(version if of is None else F.when(of, version))["value"]
+def _version() -> Column:
+    return F.struct("ts", "value")
 
 
-def _narrow_table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
-    """One aggregate per column, combined before the only shuffle."""
-    return cells.groupBy("row_key").agg(
-        *[
-            _newest((F.col("family") == family) & (F.col("qualifier") == qualifier)).alias(
-                f"{family}:{qualifier}"
-            )
-            for family, qualifier in columns
-        ]
-    )
+def _name(column: Pair) -> str:
+    return ":".join(part or "" for part in column)
 
 
-def _wide_table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
-    """Cells first down to one version each, then gathered by row.
+def _table(cells: DataFrame, columns: Sequence[Pair]) -> DataFrame:
+    """One row per row key with a column ``family:qualifier`` for each of ``columns``.
 
-    The first step leaves a hot row at most one cell per column, so what the
-    second gathers is bounded by the number of columns.
+    Cells go down to one version each, then they are gathered by row. The first step
+    leaves a hot row at most one cell per column, so what the second gathers is
+    bounded by the number of columns.
     """
-    # The broadcast side has a row per output column: MAX_COLUMNS, or the request.
+    # A row per output column, so as bounded as the output's schema.
     positions = cells.sparkSession.createDataFrame(
         [(family, qualifier, i) for i, (family, qualifier) in enumerate(columns)],
-        "family string, qualifier string, position int",
+        "of_family string, of_qualifier string, position int",
     )
     newest = (
         cells.groupBy(*CELL_KEY)
-        .agg(_newest().alias("value"))
-        .join(F.broadcast(positions), ["family", "qualifier"])
+        .agg(F.max(_version())["value"].alias("value"))
+        .join(
+            F.broadcast(positions),
+            F.col("family").eqNullSafe(F.col("of_family"))
+            & F.col("qualifier").eqNullSafe(F.col("of_qualifier")),
+        )
         .select("row_key", "position", "value")
     )
     # Cells of a row are in different tasks now; gathering them before the
@@ -84,75 +85,83 @@ def _wide_table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
         .agg(F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("row"))
     )
     return rows.select(
-        "row_key",
-        *[
-            F.col("row")[i].alias(f"{family}:{qualifier}")
-            for i, (family, qualifier) in enumerate(columns)
-        ],
+        "row_key", *[F.col("row")[i].alias(_name(column)) for i, column in enumerate(columns)]
     )
 
 
-def _table(cells: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
-    """One row per row key with a column ``family:qualifier`` for each of ``columns``."""
-    build = _narrow_table if len(columns) <= NARROW_COLUMNS else _wide_table
-    return build(cells, columns)
-
-
-def cells_select(cells: DataFrame, request: str) -> DataFrame:
+def cells_select(cells: DataFrame, request: str | Sequence[Pair]) -> DataFrame:
     """The requested columns as a table of strings, a row per row key that has any.
 
-    ``request`` is ``fam:col1:col2,fam2:col3``. Columns are ``row_key`` and
+    ``request`` is ``fam:col1:col2,fam2:col3``, or a list of (family, qualifier)
+    pairs, which may hold ``:``, ``,`` and None. Columns are ``row_key`` and
     ``family:qualifier`` in the order requested; a missing cell is null.
     """
-    columns = parse_columns(request)
+    columns = parse_columns(request) if isinstance(request, str) else list(dict.fromkeys(request))
+    if not columns:
+        raise ValueError("no columns requested")
     return _table(cells.filter(_wanted(columns)), columns)
 
 
-def _column_pairs(cells: DataFrame, max_columns: int) -> DataFrame:
-    """Distinct (family, qualifier): all of them, or one more than allowed."""
-    return cells.select("family", "qualifier").distinct().limit(max_columns + 1)
-
-
-def cell_columns(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def cell_columns(cells: DataFrame) -> DataFrame:
     """``family, columns``: the qualifiers of each family in order, joined with ``:``.
 
-    Over ``max_columns`` qualifiers in all is an error.
+    Qualifiers that hold ``:`` themselves cannot be told apart in the joined text.
     """
-    found = F.sort_array(F.collect_list(F.struct("family", "qualifier")))
-    too_many = F.raise_error(F.lit(f"over {max_columns} columns"))
+    qualifiers = F.sort_array(F.collect_list(F.coalesce("qualifier", F.lit(""))))
     return (
-        _column_pairs(cells, max_columns)
-        .agg(found.alias("found"))
-        .select(F.inline(F.when(F.size("found") > max_columns, too_many).otherwise(F.col("found"))))
+        cells.select("family", "qualifier")
+        .distinct()
         .groupBy("family")
-        .agg(F.concat_ws(":", F.sort_array(F.collect_list("qualifier"))).alias("columns"))
+        .agg(F.concat_ws(":", qualifiers).alias("columns"))
     )
 
 
-def cells_pivot(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def cells_pivot(cells: DataFrame) -> DataFrame:
     """All columns of all rows as a table of strings, as :func:`cells_select`.
 
-    The column names are read first, in a job of their own; over ``max_columns``
-    of them is an error. Where the names are known, ``cells_select`` saves that job.
+    The column names are read first, in a job of their own, and come to the driver:
+    they are the names of the table's own schema, which a driver has to hold anyway.
+    Where the names are known, ``cells_select`` saves that job.
     """
-    found = _column_pairs(cells, max_columns).collect()
-    if len(found) > max_columns:
-        raise ValueError(f"over {max_columns} columns; select the ones needed")
-    columns = sorted((row["family"], row["qualifier"]) for row in found)
+    found = cells.select("family", "qualifier").distinct().collect()
+    columns = sorted(
+        ((row["family"], row["qualifier"]) for row in found),
+        key=lambda pair: [(part is not None, part or "") for part in pair],
+    )
     return _table(cells, columns) if columns else cells.select("row_key").distinct()
 
 
+def _same(other: dict[str, str]) -> Column:
+    same = F.lit(True)
+    for name, their in other.items():
+        same &= F.col(name).eqNullSafe(F.col(their))
+    return same
+
+
 def cells_drop(cells: DataFrame, targets: DataFrame) -> DataFrame:
     """Cells without the newest version of each target cell.
 
-    ``targets`` has ``row_key, family, qualifier``; older versions stay.
+    ``targets`` has ``row_key, family, qualifier``; older versions stay. Cells that no
+    target names are parted from the others first, so with few targets, which Spark
+    broadcasts by its own size check, no such cell is shuffled. With many, the versions
+    of a cell are dealt to 16 lots, so that a hot cell is no single task's.
     """
-    # The newest version is found by a map-side combined maximum, not by ranking,
-    # so a cell with very many versions never has to fit in one task. Few targets
-    # are broadcast by Spark's own size check and reach below the aggregate.
+    columns = cells.columns
+    theirs = {name: f"_target_{name}" for name in CELL_KEY}
+    lots = F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1)))
+    keys = (
+        targets.select(*[F.col(name).alias(their) for name, their in theirs.items()])
+        .distinct()
+        .withColumn("_target_lot", lots)
+    )
+    dealt = cells.withColumn("_lot", F.pmod(F.xxhash64("ts", "value"), F.lit(LOTS)).cast("int"))
+    named = _same(theirs | {"_lot": "_target_lot"})
+    untouched = dealt.join(keys, named, "left_anti").select(*columns)
+    hit = dealt.join(keys, named, "left_semi").select(*columns)
     newest = (
-        cells.groupBy(*CELL_KEY)
-        .agg(F.max("ts").alias("ts"))
-        .join(targets.select(*CELL_KEY), CELL_KEY, "left_semi")
+        hit.groupBy(*[F.col(name).alias(their) for name, their in theirs.items()])
+        .agg(F.max(_version()).alias("_newest"))
+        .select(*theirs.values(), F.col("_newest.ts").alias("_ts"), F.col("_newest.value").alias("_value"))
     )
-    return cells.join(newest, [*CELL_KEY, "ts"], "left_anti").select(*cells.columns)
+    older = hit.join(newest, _same(theirs | {"ts": "_ts", "value": "_value"}), "left_anti")
+    return untouched.unionByName(older)

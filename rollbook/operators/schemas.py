@@ -34,6 +34,12 @@ def _some_value(data_type: T.DataType) -> Column:
         return F.lit("")
     if isinstance(data_type, T.BinaryType):
         return F.lit(b"")
+    if isinstance(data_type, T.DayTimeIntervalType):
+        return F.expr("INTERVAL '0' DAY").cast(data_type)
+    if isinstance(data_type, T.YearMonthIntervalType):
+        return F.expr("INTERVAL '0' MONTH").cast(data_type)
+    if isinstance(data_type, T.VariantType):
+        return F.parse_json(F.lit("null"))
     raise TypeError(f"cannot make a column of {data_type.simpleString()} not nullable")
 
 
@@ -43,7 +49,8 @@ def set_nullable(df: DataFrame, column: str, nullable: bool) -> DataFrame:
     The name must match exactly, case included; with an unknown name ``df`` comes
     back as it is. A null in a column made not nullable fails the query that
     reads the column. A query that does not read it, such as a bare ``count()``,
-    does not check it.
+    does not check it. Vectors cannot be made not nullable: Spark has no expression of
+    that type which it knows to be never null.
     """
     field = next((f for f in df.schema if f.name == column), None)
     if field is None or field.nullable == nullable:

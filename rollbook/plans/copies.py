@@ -15,13 +15,15 @@ def copy_dataset(
     source: str,
     output: str | None,
     columns: str | Sequence[str] | None = None,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
     """Load what ``source`` holds and write it to ``output`` as Parquet.
 
     ``source`` is a folder or Parquet file of data, or a file that holds a source
-    descriptor or a path. Without ``output`` nothing is written. Returns the
+    descriptor or a path. ``columns`` and ``cells`` are as in
+    :func:`~rollbook.sources.router.load_source`. Without ``output`` nothing is written. Returns the
     loaded data.
     """
-    loaded = load_source(spark, source_text(spark, source), columns)
+    loaded = load_source(spark, source_text(spark, source), columns, cells)
     write_parquet(loaded, output)
     return loaded

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,14 +16,12 @@ def hadoop_file(spark: SparkSession, path: str):
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, under the folder all executors share.
 
-    That folder is the session's ``spark.checkpoint.dir``; only a local session
-    may leave it unset. What the application wrote there goes when it ends.
+    That folder is the session's ``spark.checkpoint.dir``, or its warehouse where that
+    is unset. What the application wrote there goes when it ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     folder = f"{shared.rstrip('/')}/rollbook-{spark.sparkContext.applicationId}"
     file_system, location = hadoop_file(spark, folder)
     if not file_system.exists(location):

@@ -14,6 +14,7 @@ def write_parquet(df: DataFrame, path: str | None) -> None:
 def write_text(df: DataFrame, path: str, column: str | None = None) -> None:
     """Write one string column as text, a line per row.
 
+    A value that holds line breaks becomes as many lines.
     ``column`` may be left out where ``df`` has just one.
     """
     text = df if column is None else df.select(column)

@@ -30,10 +30,6 @@ class SourceDescriptor:
     dbType: str | None = None
 
 
-# A descriptor is read on the driver, so a file above this size is refused.
-MAX_DESCRIPTOR_BYTES = 64 * 1024
-
-
 def parse_descriptor(text: str) -> SourceDescriptor | None:
     """The descriptor in ``text``, or None where it is not a JSON object."""
     try:
@@ -79,16 +75,13 @@ def load_source(
 def source_text(spark: SparkSession, path: str) -> str:
     """What :func:`load_source` should be given for ``path``.
 
-    A folder or a Parquet file stands for itself; any other file holds the
-    descriptor (or the path) in its lines.
+    A folder or a Parquet file stands for itself. By the caller's word any other
+    file holds the descriptor (or the path) in its lines, and is read on the driver.
     """
     if path.endswith(".parquet"):
         return path
     file_system, location = hadoop_file(spark, path)
-    status = file_system.getFileStatus(location)
-    if status.isDirectory():
+    if file_system.getFileStatus(location).isDirectory():
         return path
-    if status.getLen() > MAX_DESCRIPTOR_BYTES:
-        raise ValueError(f"{path} has {status.getLen()} bytes, too many for a source descriptor")
     lines = joined_lines(read_text(spark, path, wholetext=True)).collect()
     return "".join(row["value"] for row in lines)

@@ -36,24 +36,28 @@ def _table_names(spark: SparkSession, db: str) -> list[str]:
     return sorted(row["tableName"] for row in shown if not row["isTemporary"])
 
 
-def table_row_counts(
-    spark: SparkSession, max_databases: int | None = None, max_tables: int | None = None
-) -> DataFrame:
+def _unquoted(name: str) -> str:
+    # Spark quotes a database name in its lists where SQL needs it quoted.
+    if len(name) > 1 and name[0] == name[-1] == "`":
+        return name[1:-1].replace("``", "`")
+    return name
+
+
+def table_row_counts(spark: SparkSession) -> DataFrame:
     """Report ``database, table, rows`` for every table of the catalog.
 
-    The optional limits keep the first databases, and the first tables of each,
-    by name. All tables are counted by one job; a filter on ``database`` or
-    ``table`` removes the other tables from the plan before anything is read.
+    All tables are counted by one job; a filter on ``database`` or ``table`` removes
+    the other tables from the plan before anything is read. Every table is looked up,
+    and its files listed, on the driver before a filter can act.
     """
-    # Spark quotes a database name in its lists where SQL needs it quoted.
     shown = spark.sql("SHOW DATABASES").collect()
-    databases = sorted(row["namespace"].strip("`") for row in shown)
+    databases = sorted(_unquoted(row["namespace"]) for row in shown)
     counts = [
         spark.table(_quoted(db, table))
         .agg(F.count("*").alias("rows"))
         .select(F.lit(db).alias("database"), F.lit(table).alias("table"), "rows")
-        for db in databases[:max_databases]
-        for table in _table_names(spark, db)[:max_tables]
+        for db in databases
+        for table in _table_names(spark, db)
     ]
     if not counts:
         return spark.createDataFrame([], REPORT_SCHEMA)

