@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import decontamination, jaccard_join, mixing, queries, sharding, toxicity
-from rollbook.llm.store import rows_again, stored
+from rollbook.llm.store import stored
 from rollbook.llm.words import spaced_words
 
 
@@ -30,12 +30,10 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix has it: whole epochs and a share of one more."""
     text = F.col("text")
-    mixed = mixing.mix(
+    return mixing.repeat_mixed(
         docs, size=F.size(spaced_words(text)), weight=queries.mix_weight(text),
         identity=F.col("doc_id"), tie=F.md5(text),
     )
-    taken = mixed.select(*[F.col(f"`{c}`") for c in docs.columns], "copies").filter("copies > 0")
-    return rows_again(taken, "copies")
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import row_key, rows_again
+from .store import own, row_key, rows_again, wrapped
 from .words import ALNUM_BREAK, ALNUM_WORD, alnum_words
 
 NGRAM = 10
@@ -168,29 +168,25 @@ def decontaminate(
         F.col("_id").alias("_hit_id"), F.col("_digest").alias("_hit_digest"),
         _merged(F.col("spans")).alias("_hit_spans"),
     )
-    same = F.col(f"_docs.`{doc_id}`").eqNullSafe(F.col("_hit_id")) & (
-        F.md5(F.col(f"_docs.`{text}`")) == F.col("_hit_digest")
-    )
+    same = own(doc_id).eqNullSafe(F.col("_hit_id")) & (F.md5(own(text)) == F.col("_hit_digest"))
     if remove == "documents":
-        return docs.alias("_docs").join(hits, same, "left_anti")
-    joined = docs.alias("_docs").join(hits, same, "left")
-    whole = F.col(f"_docs.`{text}`")
+        return wrapped(docs).join(hits, same, "left_anti").select("_row.*")
+    joined = wrapped(docs).join(hits, same, "left")
     # Cut at the same places as the lower-cased text: only A-Z changed there.
-    pieces = F.regexp_extract_all(whole, F.lit(_PIECE), F.lit(0))
+    pieces = F.regexp_extract_all(own(text), F.lit(_PIECE), F.lit(0))
     kept = F.filter(
         pieces,
         lambda piece, at: ~F.exists(
             "_hit_spans", lambda span: (span["start"] <= at + 1) & (at + 1 < span["stop"])
         ),
     )
-    tail = F.regexp_extract(whole, _TAIL, 0)
-    cleaned = F.when(F.col("_hit_id").isNull() & F.col("_hit_digest").isNull(), whole).otherwise(
+    tail = F.regexp_extract(own(text), _TAIL, 0)
+    cleaned = F.when(F.col("_hit_digest").isNull(), own(text)).otherwise(
         F.concat(F.array_join(kept, ""), tail)
     )
-    columns = [
-        cleaned.alias(name) if name == text else F.col(f"_docs.`{name}`") for name in docs.columns
-    ]
-    return joined.select(*columns)
+    return joined.select(*[
+        (cleaned if name == text else own(name)).alias(name) for name in docs.columns
+    ])
 
 
 _LETTER = ALNUM_WORD.replace(r"\x60", r"\x40\x5B-\x60")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import stored
+from .store import own, stored, wrapped
 
 SHINGLE = 4
 #: Sets link at NUMERATOR percent or more.
@@ -310,10 +310,10 @@ class _Join:
             "jaccard_rows",
         )
         # One row for each set: the first document that has it.
-        own = F.struct("_id", "_digest")
+        first = F.struct("_id", "_digest")
         self.sets = stored(
             self.rows.groupBy("s").agg(
-                F.first("h").alias("h"), F.first("n").alias("n"), F.min(own).alias("own"),
+                F.first("h").alias("h"), F.first("n").alias("n"), F.min(first).alias("own"),
                 F.min("_id").alias("least"), F.count("*").alias("copies"),
                 F.first("sketches").alias("sketches"),
             ),
@@ -443,14 +443,15 @@ def keep_one(
     placed = placed.filter(F.col("n") > 0)
     kept = placed.groupBy("label").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_digest")).alias("k"))
     kept = stored(kept.select(F.col("k._id").alias("_kept_id"), F.col("k._digest").alias("_kept_digest")), "jaccard_kept")
-    digest = F.md5(F.coalesce(F.col(f"_docs.`{text}`"), F.lit("")))
-    same = F.col(f"_docs.`{doc_id}`").eqNullSafe(F.col("_kept_id")) & (digest == F.col("_kept_digest"))
-    worded = F.coalesce(F.col(f"_docs.`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    named = docs.alias("_docs")
-    stay = named.filter(worded).join(kept, same, "left_semi")
+    whole = F.coalesce(own(text), F.lit(""))
+    same = own(doc_id).eqNullSafe(F.col("_kept_id")) & (F.md5(whole) == F.col("_kept_digest"))
+    worded = whole.rlike(r"[^\x20\x09-\x0D]")
+    rows = wrapped(docs)
+    stay = rows.filter(worded).join(kept, same, "left_semi")
     repeated = placed.groupBy("_id", "_digest").count().filter("count > 1")
     if not repeated.isEmpty():
-        stay = stay.dropDuplicates([doc_id, text])
-    return stay.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(
-        named.filter(~worded).select(*[F.col(f"_docs.`{c}`") for c in docs.columns])
-    )
+        stay = (
+            stay.withColumns({"_id": own(doc_id), "_digest": F.md5(own(text))})
+            .dropDuplicates(["_id", "_digest"]).select("_row")
+        )
+    return stay.unionByName(rows.filter(~worded)).select("_row.*")

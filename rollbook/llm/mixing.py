@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import rows_again, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -72,43 +72,21 @@ def source_targets(
     return level.select("source", "source_size", target.alias("target"))
 
 
-def mix(
-    docs: DataFrame,
-    *,
-    size: Column,
-    weight: Column,
-    identity: Column,
-    tie: Column,
-    source: str = "source",
-    weights: Sequence[int] = WEIGHTS,
-    share: float = SHARE,
-    most: int = MOST,
-    seed: int = 0,
-    broadcast_sources: int = BROADCAST_SOURCES,
+def _mixed(
+    docs: DataFrame, size: Column, weight: Column, identity: Column, tie: Column, source: str,
+    weights: Sequence[int], share: float, most: int, seed: int, broadcast_sources: int,
 ) -> DataFrame:
-    """``docs`` with ``size, source_size, target, copies, taken``: how often the mix has each row.
-
-    A source first gives as many whole epochs as its target holds. What is left of the target
-    goes to the rows with the smallest exponential keys, as long as a row's middle lies within
-    it, so a source misses its target by half a row at most. ``weight`` must be above zero.
-
-    A source is never sorted whole: its keys are counted in 4096 steps, running sums over the
-    steps find the one in which the target ends, and only that step's rows are sorted.
-
-    Null and empty texts have size 0; null is a source of its own; ``tie`` orders rows of the
-    same identity, and rows equal in both take each other's place. No rows give no rows. The
-    added columns replace those of the same name; others stay.
-    """
-    spark = docs.sparkSession
-    added = ("size", "source_size", "target", "copies", "taken")
-    names = [name for name in docs.columns if name not in added]
-    rows = docs.withColumns({
-        "_size": size.cast("long"), "_key": exponential_key(identity, weight, seed), "_tie": tie,
-    }).withColumn("_step", F.least(
+    """Wrapped rows with ``size, source_size, target, copies``."""
+    step = F.least(
         F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * STEPS), F.lit(STEPS - 1)
-    ).cast("int"))
+    ).cast("int")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"),
+        F.col(f"`{source}`").alias("_source"), size.cast("long").alias("_size"),
+        exponential_key(identity, weight, seed).alias("_key"), tie.alias("_tie"),
+    ).withColumn("_step", step)
     steps = stored(
-        rows.groupBy(F.col(f"`{source}`").alias("source"), F.col("_step").alias("step")).agg(
+        rows.groupBy(F.col("_source").alias("source"), F.col("_step").alias("step")).agg(
             F.sum("_size").alias("step_size")
         ),
         "mix_steps",
@@ -138,8 +116,7 @@ def mix(
         ),
         "mix_plan",
     )
-    same = F.col(f"`{source}`").eqNullSafe(F.col("_of"))
-    rows = rows.drop(*[name for name in added if name in docs.columns])
+    same = F.col("_source").eqNullSafe(F.col("_of"))
     if plan.count() <= broadcast_sources:
         planned = rows.join(F.broadcast(plan), same)
     else:
@@ -150,20 +127,76 @@ def mix(
         )
     # Steps before the last are taken whole and steps after it not at all; a source without
     # a last step has no more than its rest, so all of it is taken.
-    sorted_ones = F.col("_end").isNotNull() & (F.col("_step") == F.col("_end"))
-    plain = planned.filter(~sorted_ones).withColumn(
+    in_last = F.col("_end").isNotNull() & (F.col("_step") == F.col("_end"))
+    plain = planned.filter(~in_last).withColumn(
         "_more", (F.col("_end").isNull() | (F.col("_step") < F.col("_end"))).cast("long")
     )
     before = F.coalesce(F.expr(
         "sum(_size) over (partition by _of order by _key, _tie "
         "rows between unbounded preceding and 1 preceding)"
     ), F.lit(0)) + F.col("_before")
-    last = planned.filter(sorted_ones).withColumn(
+    last = planned.filter(in_last).withColumn(
         "_more", (before * 2 + F.col("_size") <= F.col("_rest") * 2).cast("long")
     )
-    copies = F.col("_epochs") + F.col("_more")
     return plain.unionByName(last).select(
-        *[F.col(f"`{name}`") for name in names],
-        F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"),
-        (copies * F.col("_size")).alias("taken"),
+        "_row", F.col("_size").alias("size"), "source_size", "target",
+        (F.col("_epochs") + F.col("_more")).alias("copies"),
+    )
+
+
+def mix(
+    docs: DataFrame,
+    *,
+    size: Column,
+    weight: Column,
+    identity: Column,
+    tie: Column,
+    source: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+    seed: int = 0,
+    broadcast_sources: int = BROADCAST_SOURCES,
+) -> DataFrame:
+    """``docs`` with ``size, source_size, target, copies, taken``: how often the mix has each row.
+
+    A source first gives as many whole epochs as its target holds. What is left of the target
+    goes to the rows with the smallest exponential keys, as long as a row's middle lies within
+    it, so a source misses its target by half a row at most. ``weight`` must be above zero.
+
+    A source is never sorted whole: its keys are counted in 4096 steps, running sums over the
+    steps find the one in which the target ends, and only that step's rows are sorted.
+
+    Null and empty texts have size 0; null is a source of its own; ``tie`` orders rows of the
+    same identity, and rows equal in both take each other's place. No rows give no rows. The
+    added columns replace those of the same name; others stay.
+    """
+    found = _mixed(
+        docs, size, weight, identity, tie, source, weights, share, most, seed, broadcast_sources
+    )
+    added = ("size", "source_size", "target", "copies", "taken")
+    kept = [F.col("_row").getField(n).alias(n) for n in docs.columns if n not in added]
+    return found.select(
+        *kept, *added[:4], (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def repeat_mixed(
+    docs: DataFrame,
+    *,
+    size: Column,
+    weight: Column,
+    identity: Column,
+    tie: Column,
+    source: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+    seed: int = 0,
+    broadcast_sources: int = BROADCAST_SOURCES,
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as :func:`mix` says, with its own columns."""
+    found = _mixed(
+        docs, size, weight, identity, tie, source, weights, share, most, seed, broadcast_sources
     )
+    return rows_again(found.filter("copies > 0").select("_row", "copies"), "copies").select("_row.*")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import own, stored, wrapped
 from .words import alnum_words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -251,24 +251,17 @@ def sanitise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **h
     found = found.filter((F.size("_base") > 0) | (F.size("_terms") > 0)).dropDuplicates(
         ["_found_id", "_found_digest"]
     )
-    same = F.col(f"_docs.`{doc_id}`").eqNullSafe(F.col("_found_id")) & (
-        F.md5(F.coalesce(F.col(f"_docs.`{text}`"), F.lit(""))) == F.col("_found_digest")
+    same = own(doc_id).eqNullSafe(F.col("_found_id")) & (
+        F.md5(F.coalesce(own(text), F.lit(""))) == F.col("_found_digest")
     )
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series, base: pd.Series, terms: pd.Series) -> pd.Series:
         return pd.Series([_clean(*row) for row in zip(texts, base, terms)], dtype="object")
 
-    joined = docs.alias("_docs").join(found, same, "left")
-    whole = F.col(f"_docs.`{text}`")
-    new = F.when(F.col("_base").isNull(), whole).otherwise(
-        cleaned(
-            whole,
-            F.coalesce("_base", F.array().cast("array<struct<kind:string,start:int,stop:int>>")),
-            F.coalesce("_terms", F.array().cast(
-                "array<struct<start:int,stop:int,action:string,disclosure:double>>")),
-        )
+    none = F.array().cast(found.schema["_base"].dataType), F.array().cast(found.schema["_terms"].dataType)
+    joined = wrapped(docs).join(found, same, "left")
+    new = F.when(F.col("_base").isNull(), own(text)).otherwise(
+        cleaned(own(text), F.coalesce("_base", none[0]), F.coalesce("_terms", none[1]))
     )
-    return joined.select(*[
-        new.alias(name) if name == text else F.col(f"_docs.`{name}`") for name in docs.columns
-    ])
+    return joined.select(*[(new if name == text else own(name)).alias(name) for name in docs.columns])

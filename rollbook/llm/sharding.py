@@ -147,8 +147,10 @@ def shard(
     give no rows. Columns named ``shard`` or ``slot`` are replaced; all others stay.
     """
     spark = df.sparkSession
-    keyed = df.drop("shard", "slot").withColumns(
-        {"_k1": key.cast("long"), "_k2": tie.cast("long"), "_bytes": size.cast("long")}
+    kept = [F.col(f"`{name}`") for name in df.columns if name not in ("shard", "slot")]
+    keyed = df.select(
+        F.struct(*kept).alias("_row"), key.cast("long").alias("_k1"),
+        tie.cast("long").alias("_k2"), size.cast("long").alias("_bytes"),
     )
     keys = stored(
         keyed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_bytes").alias("bytes")),
@@ -190,7 +192,4 @@ def shard(
     )
     rank = F.expr("row_number() over (partition by _range order by _k1, _k2)")
     slot = F.col("_before") + rank - 1
-    return found.select(
-        *[F.col(f"`{name}`") for name in df.columns if name not in ("shard", "slot")],
-        F.col("shard"), slot.cast("long").alias("slot"),
-    )
+    return found.select("_row.*", "shard", slot.cast("long").alias("slot"))

@@ -41,3 +41,13 @@ def row_key(*columns: str) -> list:
     """Null-safe key of a row: an id that may be null or repeated, and its text's digest."""
     identity, text = columns
     return [F.col(identity).alias("_id"), F.md5(F.col(text)).alias("_digest")]
+
+
+def wrapped(df: DataFrame) -> DataFrame:
+    """Each row as one struct ``_row``, so that added columns clash with none of its own."""
+    return df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("_row"))
+
+
+def own(name: str):
+    """A column of a wrapped row."""
+    return F.col("_row").getField(name)

@@ -75,10 +75,10 @@ def absorb(
 
 
 def _located(docs, doc_id, text, normalise, digest, *also: Column) -> DataFrame:
+    # A table may have a column of its own by the name of the hidden one.
+    where = docs.metadataColumn("_metadata")
     place = F.struct(
-        F.col(doc_id).alias("doc_id"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
+        F.col(doc_id).alias("doc_id"), where["file_path"].alias("file"), where["row_index"].alias("row")
     )
     content = normalise(F.col(text))
     return docs.select(digest(content).alias("digest"), place.alias("place"), *also)
