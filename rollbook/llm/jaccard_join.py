@@ -38,6 +38,10 @@ PERCENT = 85
 HOT = 1000
 #: Sets of a region that one task compares with each other; larger regions are tiled.
 TILE = 2048
+#: Bits of a sketch for each class: at 16, some four for each shingle, few shingles share one.
+SKETCH = 16
+#: Pairs that a task remembers, so as to name them once.
+NAMED = 1 << 16
 _M = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -111,14 +115,14 @@ def region_keys(found: np.ndarray) -> np.ndarray:
 
 
 def sketches(found: np.ndarray) -> list[dict]:
-    """For each grid 4 m bits: the parities of as many classes of another hash."""
+    """For each grid the parities of SKETCH times as many classes of another hash, as bits."""
     spread = _mixed(found ^ _M)
-    return [
-        {"m": m, "bits": np.packbits(
-            np.bincount((spread & np.uint64(4 * m - 1)).astype(np.int64), minlength=4 * m) & 1
-            ).tobytes()}
-        for m in grids(len(found))
-    ]
+    made = []
+    for m in grids(len(found)):
+        bits = SKETCH * m
+        counts = np.bincount((spread & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+        made.append({"m": m, "bits": np.packbits((counts & 1).astype(np.uint8)).tobytes()})
+    return made
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -256,20 +260,22 @@ def _joined(best_only: bool):
                     yield rows[at]["s"], rows[other]["s"]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, key = [], None
+        run, key, pairs = [], None, set()
         for batch in batches:
-            pairs: set[tuple[bytes, bytes]] = set()
             for row in batch.to_pylist():
                 now = (row["key"], row["low"], row["high"])
                 if now != key:
                     if len(run) > 1:
                         pairs.update(tuple(sorted(pair)) for pair in within(run))
                     run, key = [], now
+                    if len(pairs) > NAMED:
+                        yield _pairs(pairs)
+                        pairs = set()
                 run.append(row)
-            if pairs:
-                yield _pairs(pairs)
-        if len(run) > 1 and (last := {tuple(sorted(pair)) for pair in within(run)}):
-            yield _pairs(last)
+        if len(run) > 1:
+            pairs.update(tuple(sorted(pair)) for pair in within(run))
+        if pairs:
+            yield _pairs(pairs)
 
     return join
 
