@@ -13,15 +13,17 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .jaccard_join import shingles
+
 #: Labelled rows of each class that a model is fitted on at most, chosen by hash of the id.
-FIT_ROWS = 6000
+FIT_ROWS = 4000
 WINDOW = 8
 THRESHOLD = 0.7
 LEVEL = 9
 BASE_BYTES = 32 << 10
-CLASS_BYTES = 1024
-#: A word belongs to a class's training text if its evidence is this share of the best word's.
-LEAST_EVIDENCE = 0.08
+CLASS_BYTES = 4096
+#: Words that stand for a class in which no word stands out.
+FEW = 20
 #: zstandard finds no match in the last bytes of its input, so each window ends in these.
 TAIL = b"\n" * 16
 
@@ -85,21 +87,35 @@ def _features(gains: np.ndarray) -> np.ndarray:
     return np.array([gains.mean(), min(gains.max(), 12), (gains >= 3).mean()])
 
 
-def _telling(own: Counter, other: Counter, n_own: int, n_other: int) -> set[bytes]:
-    """Words of one class that its documents hold far more often than those of the other."""
-    evidence = {}
-    for word, count in own.items():
-        ratio = (count / n_own) / ((other[word] + 0.5) / n_other)
-        if len(word) > 2 and ratio > 1:
-            evidence[word] = count * math.log2(ratio)
-    least = LEAST_EVIDENCE * max(evidence.values(), default=0)
-    return {word for word, bits in evidence.items() if bits >= least}
+def _documents_with(docs: list[list[bytes]]) -> Counter:
+    return Counter(word for doc in docs for word in set(doc))
 
 
-def _class_dictionary(docs: list[list[bytes]], words: set[bytes]) -> bytes:
+def _telling(own: Counter, other: Counter, n_own: int, n_other: int) -> set[bytes]:
+    """Words that one class's documents hold more often than chance would have them.
+
+    By a bound on the binomial tail, fewer than one word of the class's vocabulary is expected
+    to be let in by chance. Without any such word, the few that come nearest.
+    """
+    share = n_own / (n_own + n_other)
+    bits = {}
+    for word, count in own.items():
+        total = count + other[word]
+        found = count / total
+        if found > share and len(word) > 2:
+            bits[word] = total * (
+                found * math.log2(found / share)
+                + (0 if found == 1 else (1 - found) * math.log2((1 - found) / (1 - share)))
+            )
+    least = math.log2(max(2, len(own)))
+    return {w for w, b in bits.items() if b >= least} or set(sorted(bits, key=lambda w: (-bits[w], w))[:FEW])
+
+
+def _class_dictionary(docs: list[list[bytes]], telling: set[bytes]) -> bytes:
+    """A dictionary of the telling words of a class, document by document."""
     samples = []
     for doc in docs:
-        if kept := [word for word in doc if word in words]:
+        if kept := [word for word in doc if word in telling]:
             samples.append(b" " + b" ".join(kept) + b" ")
     return _dictionary(CLASS_BYTES, samples, k=32, d=6)
 
@@ -126,9 +142,7 @@ def _contents(docs: list[list[bytes]], labels: np.ndarray) -> tuple[bytes, bytes
     """
     toxic = [doc for doc, label in zip(docs, labels) if label]
     ordinary = [doc for doc, label in zip(docs, labels) if not label]
-    in_toxic, in_ordinary = (
-        Counter(word for doc in part for word in set(doc)) for part in (toxic, ordinary)
-    )
+    in_toxic, in_ordinary = _documents_with(toxic), _documents_with(ordinary)
     sizes = len(toxic), len(ordinary)
     windows = [w.removesuffix(TAIL) for doc in ordinary for w in _windows(doc)]
     base = _dictionary(BASE_BYTES, windows)
@@ -137,14 +151,32 @@ def _contents(docs: list[list[bytes]], labels: np.ndarray) -> tuple[bytes, bytes
     return own + base, foreign + base
 
 
+def _unlike(texts: list[str | None]) -> list[int]:
+    """Numbers of the texts that share none of four minimum hashes with one before them."""
+    seen: set[tuple[int, int]] = set()
+    chosen = []
+    for n, text in enumerate(texts):
+        found = shingles(text)
+        keys = {
+            (turn, int((found * np.uint64(2 * turn + 0x9E3779B97F4A7C15)).min()))
+            for turn in range(4 if len(found) else 0)
+        }
+        if seen.isdisjoint(keys):
+            chosen.append(n)
+        seen |= keys
+    return chosen
+
+
 def fit_texts(texts: list[str | None], labels: list[int]) -> ToxicityModel:
     """A model from labelled texts.
 
-    The thresholds are calibrated on each half of the texts with dictionaries trained on the
+    Of near copies only the first counts, as a group of them would make any of its words
+    telling. The thresholds are calibrated on each half of the texts with dictionaries trained on the
     other half; the model's own dictionaries are trained on all.
     """
-    docs = [_words(text) for text in texts]
-    y = np.array(labels, dtype=int)
+    chosen = _unlike(texts)
+    docs = [_words(texts[n]) for n in chosen]
+    y = np.array([labels[n] for n in chosen], dtype=int)
     half = np.zeros(len(y), dtype=int)
     for label in (0, 1):
         half[y == label] = np.arange((y == label).sum()) % 2

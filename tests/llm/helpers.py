@@ -1,0 +1,42 @@
+"""Small tables with odd rows, and plain versions of what operators compute."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Names that operators use inside, as columns of a table that they must leave alone.
+CLASHING = ["_row", "_key", "_k1", "_size", "_range", "_id", "_digest", "_hit_id", "_base", "n", "h",
+            "s", "label", "copies_", "step", "words", "digest", "place", "key", "_found_id", "_kept_id"]
+
+
+def lower(text: str) -> str:
+    return text.translate(str.maketrans(UPPER, LOWER))
+
+
+def odd_docs(spark, rows=None):
+    """Null and repeated ids and rows, null, empty and very long texts, and clashing columns."""
+    long_text = " ".join(f"word{n % 977}" for n in range(60_000))
+    rows = rows or [
+        (1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa", "a"),
+        (2, None, "a"), (3, "", "b"), (4, " \t\n ", None), (5, long_text, "b"), (6, long_text, "c"),
+        (7, "ÀÉ one", None), (7, "ÀÉ one", None), (8, "x", "a"), (8, "y", "a"),
+        (None, "Alpha beta gamma delta epsilon zeta eta theta iota kappa", "c"), (None, None, None),
+        (10, "a@b.co " * 3 + "2024", "a"), (11, "nosuchwordanywhere" * 4000, "b"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return docs.withColumns({name: F.lit(f"own {name}") for name in CLASHING})
+
+
+def tuples(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+def alnum(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
+
+
+def spaced(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from helpers import lower, odd_docs, spaced, tuples
+
+from rollbook.llm import jaccard_join
+from rollbook.llm.jaccard_join import (
+    _classes, _most_apart, grids, jaccard_components, keep_one, linked, region_keys, sketches,
+)
+
+
+def _set(text, size=4):
+    words = spaced(lower(text or ""))
+    return frozenset(tuple(words[n : n + size]) for n in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def _plain(rows):
+    sets = [_set(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a in range(len(rows)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if sets[a] and 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+                parent[root(a)] = root(b)
+    groups = {}
+    for n, (doc, _) in enumerate(rows):
+        groups.setdefault(root(n), []).append(doc)
+    found = []
+    for n, (doc, _) in enumerate(rows):
+        ids = [i for i in groups[root(n)] if i is not None]
+        found.append((doc, len(sets[n]), min(ids, default=None) if sets[n] else doc))
+    return sorted(found, key=repr)
+
+
+def _near_copies(seed, count=220):
+    """Groups of copies edited by little and more, and unrelated texts with a common passage."""
+    chance = random.Random(seed)
+    vocabulary = [f"w{n}" for n in range(3000)]
+    passage = chance.choices(vocabulary, k=60)
+    rows, bases = [], [chance.choices(vocabulary, k=k) for k in (8, 12, 40, 90, 200, 200, 700)]
+    for n in range(count):
+        words = list(chance.choice(bases))
+        for _ in range(chance.choice([0, 0, 1, 1, 2, 3, 6])):
+            at = chance.randrange(len(words))
+            words[at : at + chance.choice([0, 1])] = chance.choices(vocabulary, k=chance.choice([0, 1, 2]))
+        if n % 5 == 0:
+            words = chance.choices(vocabulary, k=chance.randrange(3, 90)) + passage
+        text = " ".join(words)
+        rows.append((n, text.upper() if n % 7 == 0 else text))
+    return rows + rows[:5] + [(n + 1000, rows[3][1]) for n in range(60)]
+
+
+@pytest.mark.parametrize(("seed", "tile"), [(1, 2048), (2, 8)])
+def test_against_brute_force(spark, seed, tile, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    rows = _near_copies(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert tuples(jaccard_components(docs)) == _plain(rows)
+
+
+def test_linked_sets_always_meet():
+    chance = np.random.default_rng(7)
+    for size in [*range(6, 60), 100, 333, 1000, 5000]:
+        x = np.unique(chance.integers(0, 2**63, size).astype(np.uint64))
+        for _ in range(6):
+            drop, add = chance.integers(0, size // 6 + 2, 2)
+            fresh = chance.integers(0, 2**63, add).astype(np.uint64)
+            y = np.unique(np.r_[chance.permutation(x)[drop:], fresh])
+            if linked(x, y):
+                a, b = sorted((len(x), len(y)))
+                apart = len(x) + len(y) - 2 * len(np.intersect1d(x, y))
+                assert apart <= _most_apart(a) and _classes(a) in set(grids(a)) & set(grids(b))
+                assert set(x) == set(y) or set(region_keys(x)) & set(region_keys(y))
+                bits = {k["m"]: k["bits"] for k in sketches(x)}
+                for k in sketches(y):
+                    if k["m"] in bits:
+                        gap = int.from_bytes(k["bits"]) ^ int.from_bytes(bits[k["m"]])
+                        assert gap.bit_count() <= apart
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert tuples(jaccard_components(docs)) == _plain(rows)
+    assert jaccard_components(docs.limit(0)).isEmpty()
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    # One of rows 1 and null id, of 5 and 6, and of the two rows 7; those without words stay.
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(
+        [1, 2, 3, 4, 5, 7, 8, 8, 10, 11, None], key=repr
+    )
+    assert keep_one(docs.limit(0)).isEmpty()
+
+
+def test_keep_one_of_each_component(spark):
+    rows = _near_copies(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(r.doc_id for r in keep_one(docs).collect())
+    assert kept == sorted({component for _, _, component in _plain(rows)})

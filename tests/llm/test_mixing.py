@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from helpers import odd_docs, spaced, tuples
+from pyspark.sql import functions as F
+
+from rollbook.llm.mixing import mix, repeat_mixed, source_targets
+from rollbook.llm.queries import mix_weight
+from rollbook.llm.words import spaced_words
+
+
+def _plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: weights[n % len(weights)] for n, s in enumerate(names)}
+    left, target, free = share * sum(sizes.values()), {}, set(names)
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if weight[s] * level > most * sizes[s]} or {
+            s for s in free if sizes[s] == 0
+        }
+        if not full:
+            target |= {s: weight[s] * level for s in free}
+            break
+        target |= {s: float(most * sizes[s]) for s in full}
+        left -= sum(target[s] for s in full)
+        free -= full
+    return target
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_against_the_loop(spark, seed):
+    chance = random.Random(seed)
+    sizes = {f"s{n}": chance.choice([0, 1, 50, 900, 10_000]) for n in range(12)} | {None: 77, "é": 3}
+    got = source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    expected = _plain_targets(sizes)
+    for row in got.collect():
+        assert math.isclose(row.target, expected[row.source], abs_tol=1e-6)
+
+
+def _mix(docs, **how):
+    text = F.col("text")
+    return dict(size=F.size(spaced_words(text)), weight=mix_weight(text), identity=F.col("doc_id"),
+                tie=F.md5(text), **how)
+
+
+@pytest.mark.parametrize("broadcast_sources", [0, 100])
+def test_mix_meets_its_targets(spark, broadcast_sources):
+    chance = random.Random(5)
+    rows = [(n, " ".join(["w"] * chance.randrange(0, 40)), chance.choice("aaaaabc") if n % 9 else None) for n in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    got = mix(docs, **_mix(docs, broadcast_sources=broadcast_sources))
+    again = mix(docs.repartition(3), **_mix(docs))
+    assert tuples(got) == tuples(again)
+    taken, sizes, largest = {}, {}, {}
+    for r in got.collect():
+        assert r.size == len(spaced(r.text)) and r.taken == r.copies * r.size <= 2 * r.size
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        largest[r.source] = max(largest.get(r.source, 0), r.size)
+    expected = _plain_targets(sizes)
+    for r in got.collect():
+        assert r.source_size == sizes[r.source] and math.isclose(r.target, expected[r.source])
+    for source in sizes:
+        assert abs(taken[source] - expected[source]) <= largest[source] / 2 + 1e-6
+    repeated = repeat_mixed(docs, **_mix(docs))
+    assert repeated.columns == docs.columns
+    assert repeated.count() == sum(r.copies for r in got.collect())
+
+
+def test_heavier_rows_are_drawn_more_often(spark):
+    docs = spark.range(4000).selectExpr(
+        "id as doc_id", "case when id < 3000 then 'a' else 'b' end as source", "if(id % 2 = 0, 4.0, 1.0) as w"
+    )
+    got = mix(docs, size=F.lit(1), weight=F.col("w"), identity=F.col("doc_id"), tie=F.lit(0),
+              weights=(1, 3), share=0.4)
+    a = [r for r in got.collect() if r.source == "a"]
+    heavy = sum(r.copies for r in a if r.w == 4)
+    assert sum(r.copies for r in a) == 400 and heavy > 280
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    got = mix(docs, **_mix(docs))
+    assert got.count() == docs.count()
+    assert tuples(got.select(*docs.columns)) == tuples(docs)
+    assert mix(docs.limit(0), **_mix(docs)).isEmpty()
+    assert repeat_mixed(docs.limit(0), **_mix(docs)).isEmpty()
+    empty = docs.filter("text is null or text = ''")
+    assert {r.taken for r in mix(empty, **_mix(docs)).collect()} == {0}

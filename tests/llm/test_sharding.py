@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from helpers import odd_docs, tuples
+from pyspark.sql import functions as F
+
+from rollbook.llm import sharding
+from rollbook.llm.queries import shard_size
+from rollbook.llm.sharding import hashed_key, shard
+
+
+def _shard(docs, **how):
+    return shard(docs, size=shard_size(F.col("text")), key=hashed_key(F.col("text")),
+                 tie=hashed_key(F.col("doc_id")), **how)
+
+
+def _holds(rows, shards):
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    for n, own in slots.items():
+        assert 0 <= n < shards and sorted(own) == list(range(len(own)))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_even_bytes_and_gapless_slots(spark, hot, monkeypatch):
+    chance = random.Random(1)
+    rows = [(n, "copy " * 9 if hot and n % 3 == 0 else f"{n} " * chance.randrange(1, 30)) for n in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = _shard(docs, range_bytes=4096).collect()
+    _holds(got, 16)
+    sizes = [0] * 16
+    for r in got:
+        sizes[r.shard] += len(r.text) + 1
+    assert max(sizes) - min(sizes) < 0.05 * sum(sizes) / 16
+    again = _shard(docs.repartition(2), range_bytes=4096).collect()
+    assert {(r.doc_id, r.shard, r.slot) for r in got} == {(r.doc_id, r.shard, r.slot) for r in again}
+    if not hot:
+        monkeypatch.setattr(sharding, "PROBES", 16)
+        monkeypatch.setattr(sharding, "PROBE_BITS", 4)
+        monkeypatch.setattr(sharding, "ROUNDS", 30)
+        finer = _shard(docs, range_bytes=4096).collect()
+        _holds(finer, 16)
+
+
+def test_order_follows_the_key(spark):
+    docs = spark.range(1000).withColumn("text", F.lit("x"))
+    got = shard(docs, size=F.lit(2), key=F.col("id") * (1 << 49), tie=F.lit(0), shards=5).orderBy("shard", "slot")
+    assert [r.id for r in got.collect()] == list(range(1000))
+    assert {r["count"] for r in got.groupBy("shard").count().collect()} == {200}
+
+
+def test_groups_of_equal_texts_stay_together(spark):
+    docs = spark.range(4000).withColumn("text", F.concat(F.lit("text"), F.col("id") % 1000)).withColumnRenamed("id", "doc_id")
+    parts = _shard(docs).groupBy("text").agg(F.countDistinct("shard").alias("n"))
+    assert parts.filter("n > 1").isEmpty()
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    got = _shard(docs)
+    assert tuples(got.select(*docs.columns)) == tuples(docs)
+    _holds(got.collect(), 16)
+    assert _shard(docs.limit(0)).isEmpty()
+    assert _shard(docs.limit(1)).count() == 1
+    same = docs.filter("doc_id = 1").withColumn("n2", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    _holds(_shard(same).collect(), 16)
