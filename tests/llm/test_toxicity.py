@@ -39,12 +39,13 @@ def test_labels_held_out_have_no_say(spark):
 
 def test_odd_rows(spark):
     docs = odd_docs(spark)
-    model = fit_texts(["you idiot scum", "fine text"] * 20 + [None, ""], [1, 0] * 20 + [0, 0])
+    texts = [f"{word} {n} a{n} b{n} c{n} and some more" for n in range(40) for word in ("you idiot scum", "fine text")]
+    model = fit_texts([*texts, None, "", ""], [1, 0] * 40 + [0, 0, 0])
     scores = [r.s for r in docs.select(toxicity_score(model, F.col("text")).alias("s")).collect()]
     assert len(scores) == docs.count() and all(0 <= s <= 1 for s in scores)
     kept = keep_ordinary(docs, model)
     assert kept.columns == docs.columns and tuples(kept) == tuples(docs)
-    bad = docs.withColumn("text", F.lit("you idiot scum"))
+    bad = docs.withColumn("text", F.lit("you idiot scum and some more"))
     assert keep_ordinary(bad, model).isEmpty()
     assert keep_ordinary(docs.limit(0), model).isEmpty()
 
