@@ -12,9 +12,14 @@ Pivots. Each region has a pivot, the smallest of its sets. All of a region's set
 against the pivot; linked ones share its component. Only regions whose sets lie in several
 components are joined further, between components only, and again after each round's links.
 
-Bounds. A set's parity sketch changes in at most as many bits as the set in elements, so
-sketches further apart than 15 (a + b) / 185 bits prove, by the triangle inequality, that two
-sets do not link. What is left is compared by the shingles of the whole texts.
+Voronoi cells. A set's parity sketch changes in at most as many bits as the set in elements, so
+sketches of linked sets lie within r = 3n/17 bits, and bits apart are a metric too. A region of
+too many sets for a task is cut into the cells of several pivots: a set goes to its nearest
+pivot at distance d, and by the triangle inequality to every other pivot within d + 2r, where
+linked sets may be at home. Cells that are still too large are cut again.
+
+Within a cell, sketches more than 15 (a + b) / 185 bits apart prove that two sets do not link.
+What is left is compared by the shingles of the whole texts.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ SHINGLE = 4
 PERCENT = 85
 #: Sets that more than one in this many documents have; their copies take no part in regions.
 HOT = 1000
-#: Sets of a region that one task compares with each other; larger regions are tiled.
+#: Sets that a task compares with each other; larger regions are cut into cells.
 TILE = 2048
 #: Bits of a sketch for each class: at 16, some four for each shingle, few shingles share one.
 SKETCH = 16
@@ -225,6 +230,34 @@ def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield chosen
 
 
+def _bits(row: dict, m: int) -> np.ndarray:
+    return np.frombuffer(next(k["bits"] for k in row["sketches"] if k["m"] == m), np.uint8)
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of a region's pivots that each of its sets goes to, as new region keys."""
+    known = pivots = None
+    for batch in batches:
+        cells, owners, wholes = [], [], []
+        for row in batch.to_pylist():
+            if row["key"] != known:
+                known = row["key"]
+                pivots = [_bits(pivot, row["m"]) for pivot in row["pivots"] or [row]]
+            gap = _near(np.array(pivots), _bits(row, row["m"]))
+            window = gap.min() + 2 * _most_apart(row["n"])
+            inside = np.flatnonzero(gap <= window) if row["pivots"] else np.zeros(1, np.int64)
+            salt = np.array([row["key"]], np.int64).view(np.uint64)
+            cells.append(_mixed(inside.astype(np.uint64) * _M + _mixed(salt)))
+            owners.append(np.full(len(inside), row["h"], np.int64))
+            wholes.append(np.full(len(inside), row["size"], np.int64))
+        if cells:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(cells).view(np.int64)), pa.array(np.concatenate(owners)),
+                 pa.array(np.concatenate(wholes))],
+                names=["key", "h", "whole"],
+            )
+
+
 def _joined(best_only: bool):
     """Join of a region's sets between components, by sketches; from rows sorted by region.
 
@@ -232,15 +265,7 @@ def _joined(best_only: bool):
     """
 
     def within(rows: list[dict]) -> Iterator[tuple[bytes, bytes]]:
-        common = set.intersection(*({k["m"] for k in row["sketches"]} for row in rows))
-        if not common:
-            return
-        m = max(common)
-        bits = np.array([
-            np.frombuffer(next(k["bits"] for k in row["sketches"] if k["m"] == m), np.uint8)
-            for row in rows
-        ])
-        bits = np.ascontiguousarray(bits).view(np.uint32)
+        bits = np.array([_bits(row, row["m"]) for row in rows]).view(np.uint32)
         n = np.array([row["n"] for row in rows])
         label = np.unique([row["label"] for row in rows], return_inverse=True)[1]
         block = np.array([row["block"] for row in rows])
@@ -352,16 +377,48 @@ class _Join:
         named = self.sets.join(
             labels.withColumnRenamed("node", "s"), "s", "left"
         ).select("h", "s", "n", "sketches", F.coalesce("label", "s").alias("label"))
-        parted = members.join(named.select("h", "label"), "h").groupBy("key").agg(
-            F.count("*").alias("size"), F.min("label").alias("first"), F.max("label").alias("last")
-        ).filter("size > 2 and first <> last").select(
-            "key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")
+        grid = F.array_max(F.transform("sketches", lambda k: k["m"]))
+        marked = stored(named.select("h", "label", grid.alias("grid")), "jaccard_marked")
+
+        def parted(regions: DataFrame) -> DataFrame:
+            """Size and grid of the regions whose sets lie in several components."""
+            # Every set has the region's grid; the least of their largest is one of all, too.
+            found = regions.join(marked, "h").groupBy("key").agg(
+                F.count("*").alias("size"), F.min("label").alias("first"),
+                F.max("label").alias("last"), F.min("grid").alias("m"),
+            )
+            return found.filter("size > 1 and first <> last").select("key", "size", "m")
+
+        # Two sets of a region have been held against each other as pivot and set.
+        found = stored(members.join(parted(members).filter("size > 2"), "key"), "jaccard_open")
+        settled = found.filter(F.col("size") <= TILE).select("key", "h", "size", "m")
+        large = found.filter(F.col("size") > TILE)
+        while not large.isEmpty():
+            cells = stored(self._cut(large, named), "jaccard_cells")
+            found = stored(cells.join(parted(cells), "key"), "jaccard_open")
+            # A region that its windows do not part any more is tiled instead.
+            over = (F.col("size") <= TILE) | (F.col("size") > 0.9 * F.col("whole"))
+            settled = settled.unionByName(found.filter(over).select("key", "h", "size", "m"))
+            large = found.filter(~over)
+        return self._in_cells(settled, named, best_only)
+
+    def _cut(self, large: DataFrame, named: DataFrame) -> DataFrame:
+        """The sets of large regions in the Voronoi cells of some two pivots for each task."""
+        rows = large.join(named.select("h", "n", "sketches"), "h")
+        wanted = 2 * F.ceil(F.col("size") / TILE)
+        pivots = rows.filter(F.pmod(F.xxhash64("h", "key"), F.col("size")) < wanted)
+        pivots = pivots.groupBy(F.col("key").alias("of")).agg(
+            F.array_sort(F.collect_list(F.struct("h", "sketches"))).alias("pivots")
         )
-        rows = members.join(parted, "key").withColumn(
-            "block", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")
-        ).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        rows = rows.join(pivots, F.col("key") == F.col("of"), "left").drop("of")
+        return rows.mapInArrow(_cells, "key long, h long, whole long")
+
+    def _in_cells(self, regions: DataFrame, named: DataFrame, best_only: bool) -> DataFrame:
+        tiles = F.ceil(F.col("size") / TILE).cast("int")
+        rows = regions.withColumn("block", F.pmod(F.xxhash64("h"), tiles).cast("int"))
+        rows = rows.withColumn("tile", F.explode(F.sequence(F.lit(0), tiles - 1)))
         rows = rows.select(
-            "key", "h", "block", F.least("block", "tile").alias("low"),
+            "key", "h", "m", "block", F.least("block", "tile").alias("low"),
             F.greatest("block", "tile").alias("high"),
         ).join(named, "h")
         rows = rows.repartition(F.col("key"), F.col("low"), F.col("high")).sortWithinPartitions(
