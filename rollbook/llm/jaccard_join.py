@@ -455,6 +455,8 @@ class _Join:
         # What is nearest first, so that most of a group is one component before the rest.
         for best_only in (True, False):
             more = self.links(self.between_components(members, labels, best_only))
+            if more.isEmpty():
+                continue
             links = links.unionByName(more)
             labels = components(links.toDF("a", "b"))
         return labels
