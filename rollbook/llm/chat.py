@@ -197,7 +197,7 @@ def format_chat(
             yield pa.RecordBatch.from_pylist([row], arrow_costs)
 
     states = (
-        _sorted(slim, "_conv", "_block").mapInArrow(costs, cost_schema)
+        _sorted(slim).mapInArrow(costs, cost_schema)
         .groupBy("_conv").applyInArrow(lambda table: _through(table, arrow_states), state_schema)
     )
     states = stored(states, "chat_states").toDF("_of", "_in", "entry", "leave", "last")
@@ -225,11 +225,12 @@ def format_chat(
         if found:
             yield pa.RecordBatch.from_pylist(found, arrow_out)
 
-    return _sorted(placed, "_conv", "_block", "_text").mapInArrow(pieces, out_schema)
+    return _sorted(placed, "_text").mapInArrow(pieces, out_schema)
 
 
 def _sorted(rows: DataFrame, *by: str) -> DataFrame:
-    order = [F.col("_conv"), F.col("_block"), F.col("_turn").asc_nulls_last(), F.col("_role"), *by[2:]]
+    """The rows of a block in one task, in order of their turns."""
+    order = [F.col("_conv"), F.col("_block"), F.col("_turn").asc_nulls_last(), F.col("_role"), *by]
     return rows.repartition(F.col("_conv"), F.col("_block")).sortWithinPartitions(*order)
 
 

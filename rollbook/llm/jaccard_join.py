@@ -506,8 +506,11 @@ def keep_one(
     """
     placed, _ = _members(docs, shingle, doc_id, text)
     placed = placed.filter(F.col("n") > 0)
-    kept = placed.groupBy("label").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_digest")).alias("k"))
-    kept = stored(kept.select(F.col("k._id").alias("_kept_id"), F.col("k._digest").alias("_kept_digest")), "jaccard_kept")
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_digest")).alias("k")
+    kept = placed.groupBy("label").agg(first).select(
+        F.col("k._id").alias("_kept_id"), F.col("k._digest").alias("_kept_digest")
+    )
+    kept = stored(kept, "jaccard_kept")
     whole = F.coalesce(own(text), F.lit(""))
     same = own(doc_id).eqNullSafe(F.col("_kept_id")) & (F.md5(whole) == F.col("_kept_digest"))
     worded = whole.rlike(r"[^\x20\x09-\x0D]")

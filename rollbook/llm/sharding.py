@@ -40,7 +40,7 @@ class _Splitter:
 
 
 def _prefix(round_no: int) -> Column:
-    """The bits of the key that earlier rounds have settled, as a string both numbers fit in."""
+    """The bits of the key that earlier rounds have settled, as a decimal both numbers fit in."""
     bits = PROBE_BITS * round_no
     if bits <= KEY_BITS:
         return F.shiftright("k1", KEY_BITS - bits).cast("decimal(38,0)")
