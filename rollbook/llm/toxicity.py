@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .jaccard_join import shingles
 
 #: Labelled rows of each class that a model is fitted on at most, chosen by hash of the id.
-FIT_ROWS = 4000
+FIT_ROWS = 2500
 WINDOW = 8
 THRESHOLD = 0.7
 LEVEL = 9
