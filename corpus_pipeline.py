@@ -9,6 +9,9 @@ from rollbook.llm import decontamination, jaccard_join, mixing, queries, shardin
 from rollbook.llm.store import stored
 from rollbook.llm.words import spaced_words
 
+#: Near copies share this percentage or more of their shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go; the model is fitted on the given documents' labels."""
@@ -18,7 +21,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect the one with the smallest id stays."""
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, shingle=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

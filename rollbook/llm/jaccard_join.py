@@ -1,10 +1,10 @@
 """Exact n-gram Jaccard join of whole texts, down to components of linked documents.
 
-Two sets link when 100 |x & y| >= 85 |x | y|. The distance 1 - Jaccard is a metric, and so is
-the size of the symmetric difference, in which sets of size a <= b that link are at most
-3a/17 apart.
+Two sets link when 100 |x & y| >= p |x | y|, with p = 85 unless the caller says otherwise. The
+distance 1 - Jaccard is a metric, and so is the size of the symmetric difference, in which sets
+of size a <= b that link are at most q = (100 - p) a / p apart: 3a/17 at 85, a/4 at 80.
 
-Regions. The universe of shingles is cut into m classes by hash, m above 3a/17. Sets that link
+Regions. The universe of shingles is cut into m classes by hash, m above q. Sets that link
 differ in fewer classes than there are, so they agree in one: every set goes to the region of
 each of its class contents, and linked sets meet in at least one.
 
@@ -13,13 +13,13 @@ against the pivot; linked ones share its component. Only regions whose sets lie
 components are joined further, between components only, and again after each round's links.
 
 Voronoi cells. A set's parity sketch changes in at most as many bits as the set in elements, so
-sketches of linked sets lie within r = 3n/17 bits, and bits apart are a metric too. A region of
-too many sets for a task is cut into the cells of several pivots: a set goes to its nearest
+sketches of linked sets lie within r = (100 - p) n / p bits, and bits apart are a metric too. A
+region of too many sets for a task is cut into the cells of several pivots: a set goes to its nearest
 pivot at distance d, and by the triangle inequality to every other pivot within d + 2r, where
 linked sets may be at home. Cells that are still too large are cut again.
 
-Within a cell, sketches more than 15 (a + b) / 185 bits apart prove that two sets do not link.
-What is left is compared by the shingles of the whole texts.
+Within a cell, sketches more than (100 - p) (a + b) / (100 + p) bits apart prove that two sets do
+not link. What is left is compared by the shingles of the whole texts.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from .components import components
 from .store import own, stored, wrapped
 
 SHINGLE = 4
-#: Sets link at NUMERATOR percent or more.
+#: Sets link at this percentage or more, unless the caller gives another.
 PERCENT = 85
 #: Sets that more than one in this many documents have; their copies take no part in regions.
 HOT = 1000
@@ -78,21 +78,22 @@ def set_id(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-def _most_apart(size: int) -> int:
+def _most_apart(size: int, percent: int = PERCENT) -> int:
     """How far apart a set of ``size`` and a linked one no smaller may be."""
-    return (100 - PERCENT) * size // PERCENT
+    return (100 - percent) * size // percent
 
 
-def _classes(size: int) -> int:
+def _classes(size: int, percent: int = PERCENT) -> int:
     """Classes for a set and linked ones no smaller: a power of 2 above what may differ."""
-    return 1 << math.ceil(math.log2(1.1 * (_most_apart(size) + 1) + 2))
+    return 1 << math.ceil(math.log2(1.1 * (_most_apart(size, percent) + 1) + 2))
 
 
-def grids(size: int) -> list[int]:
+def grids(size: int, percent: int = PERCENT) -> list[int]:
     """The numbers of classes that a set of ``size`` may need as the larger or smaller one."""
-    if size < PERCENT // (100 - PERCENT) + 1:  # too small to link with any other set
+    if not _most_apart(size, percent):  # too small to link with any other set
         return []
-    return sorted({_classes(-(-PERCENT * size // 100)), _classes(size)})
+    least, most = _classes(-(-percent * size // 100), percent), _classes(size, percent)
+    return [1 << k for k in range(least.bit_length() - 1, most.bit_length())]
 
 
 def _class_starts(found: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,39 +101,40 @@ def _class_starts(found: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
     return numbers, np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
 
 
-def region_keys(found: np.ndarray) -> np.ndarray:
+def region_keys(found: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of the regions a set goes to: the content of each class that is not empty.
 
     Of two linked sets one has more such classes than may differ, or both go by their
-    prefixes: the smallest 15 % of hashes and one more, of which linked sets share one.
+    prefixes: the smallest 100 - ``percent`` % of hashes and one more, of which linked sets
+    share one.
     """
     keys = []
-    for m in grids(len(found)):
+    for m in grids(len(found), percent):
         numbers, starts = _class_starts(found, m)
         salt = np.array([m], np.uint64) * _M2
         content = np.add.reduceat(_mixed(found + salt), starts)
         keys.append(_mixed(content ^ (_mixed(numbers[starts] + salt))))
-        most = min(_most_apart(len(found)), int((m - 2) / 1.1) - 1)
+        most = min(_most_apart(len(found), percent), int((m - 2) / 1.1) - 1)
         if len(starts) <= most:
-            prefix = len(found) - -(-PERCENT * len(found) // 100) + 1
+            prefix = len(found) - -(-percent * len(found) // 100) + 1
             keys.append(_mixed(found[:prefix] ^ _mixed(np.array([m], np.uint64))))
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
-def sketches(found: np.ndarray) -> list[dict]:
+def sketches(found: np.ndarray, percent: int = PERCENT) -> list[dict]:
     """For each grid the parities of SKETCH times as many classes of another hash, as bits."""
     spread = _mixed(found ^ _M)
     made = []
-    for m in grids(len(found)):
+    for m in grids(len(found), percent):
         bits = SKETCH * m
         counts = np.bincount((spread & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
         made.append({"m": m, "bits": np.packbits((counts & 1).astype(np.uint8)).tobytes()})
     return made
 
 
-def linked(x: np.ndarray, y: np.ndarray) -> bool:
+def linked(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
     common = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 _SETS = pa.schema([
@@ -141,14 +143,14 @@ _SETS = pa.schema([
 ])
 
 
-def _describe(size: int):
+def _describe(size: int, percent: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in batch.column("_text"):
                 found = shingles(text.as_py(), size)
                 s = set_id(found)
-                rows.append((len(found), s, _short(s), sketches(found)))
+                rows.append((len(found), s, _short(s), sketches(found, percent)))
             columns = list(zip(*rows)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_digest")]
@@ -163,7 +165,7 @@ def _short(s: bytes) -> int:
     return int.from_bytes(s[:8], "little", signed=True)
 
 
-def _region_rows(size: int, hot: dict[bytes, tuple]):
+def _region_rows(size: int, percent: int, hot: dict[bytes, tuple]):
     """Key and set of each region a document goes to; of a hot set only one row takes part."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +176,7 @@ def _region_rows(size: int, hot: dict[bytes, tuple]):
                 found = shingles(text.as_py(), size)
                 s = set_id(found)
                 if hot.get(s, row) == row:
-                    own = region_keys(found)
+                    own = region_keys(found, percent)
                     keys.append(own)
                     owners.append(np.full(len(own), _short(s), np.int64))
             if keys:
@@ -210,55 +212,63 @@ def _near(bits: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.bitwise_count(bits ^ other).sum(axis=-1)
 
 
-def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _may_link(percent: int):
     """Pairs whose sizes and sketches do not rule out that they link."""
-    for batch in batches:
-        rows = batch.select(["n_a", "n_b", "k_a", "k_b"]).to_pylist()
-        keep = []
-        for row in rows:
-            a, b = row["n_a"], row["n_b"]
-            near = 100 * min(a, b) >= PERCENT * max(a, b)
-            if near:
-                own = {k["m"]: k["bits"] for k in row["k_a"]}
-                for k in row["k_b"]:
-                    if k["m"] in own:
-                        gap = int.from_bytes(k["bits"]) ^ int.from_bytes(own[k["m"]])
-                        near = near and gap.bit_count() * (100 + PERCENT) <= (100 - PERCENT) * (a + b)
-            keep.append(near)
-        chosen = batch.select(["s_a", "s_b"]).filter(pa.array(keep, pa.bool_()))
-        if chosen.num_rows:
-            yield chosen
+
+    def may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["n_a", "n_b", "k_a", "k_b"]).to_pylist()
+            keep = []
+            for row in rows:
+                a, b = row["n_a"], row["n_b"]
+                near = 100 * min(a, b) >= percent * max(a, b)
+                if near:
+                    own = {k["m"]: k["bits"] for k in row["k_a"]}
+                    for k in row["k_b"]:
+                        if k["m"] in own:
+                            gap = int.from_bytes(k["bits"]) ^ int.from_bytes(own[k["m"]])
+                            near = near and gap.bit_count() * (100 + percent) <= (100 - percent) * (a + b)
+                keep.append(near)
+            chosen = batch.select(["s_a", "s_b"]).filter(pa.array(keep, pa.bool_()))
+            if chosen.num_rows:
+                yield chosen
+
+    return may_link
 
 
 def _bits(row: dict, m: int) -> np.ndarray:
     return np.frombuffer(next(k["bits"] for k in row["sketches"] if k["m"] == m), np.uint8)
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cells(percent: int):
     """The cells of a region's pivots that each of its sets goes to, as new region keys."""
-    known = pivots = None
-    for batch in batches:
-        cells, owners, wholes = [], [], []
-        for row in batch.to_pylist():
-            if row["key"] != known:
-                known = row["key"]
-                pivots = [_bits(pivot, row["m"]) for pivot in row["pivots"] or [row]]
-            gap = _near(np.array(pivots), _bits(row, row["m"]))
-            window = gap.min() + 2 * _most_apart(row["n"])
-            inside = np.flatnonzero(gap <= window) if row["pivots"] else np.zeros(1, np.int64)
-            salt = np.array([row["key"]], np.int64).view(np.uint64)
-            cells.append(_mixed(inside.astype(np.uint64) * _M + _mixed(salt)))
-            owners.append(np.full(len(inside), row["h"], np.int64))
-            wholes.append(np.full(len(inside), row["size"], np.int64))
-        if cells:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(cells).view(np.int64)), pa.array(np.concatenate(owners)),
-                 pa.array(np.concatenate(wholes))],
-                names=["key", "h", "whole"],
-            )
 
+    def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pivots = None
+        for batch in batches:
+            cells, owners, wholes = [], [], []
+            for row in batch.to_pylist():
+                if row["key"] != known:
+                    known = row["key"]
+                    pivots = [_bits(pivot, row["m"]) for pivot in row["pivots"] or [row]]
+                gap = _near(np.array(pivots), _bits(row, row["m"]))
+                window = gap.min() + 2 * _most_apart(row["n"], percent)
+                inside = np.flatnonzero(gap <= window) if row["pivots"] else np.zeros(1, np.int64)
+                salt = np.array([row["key"]], np.int64).view(np.uint64)
+                cells.append(_mixed(inside.astype(np.uint64) * _M + _mixed(salt)))
+                owners.append(np.full(len(inside), row["h"], np.int64))
+                wholes.append(np.full(len(inside), row["size"], np.int64))
+            if cells:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(cells).view(np.int64)), pa.array(np.concatenate(owners)),
+                     pa.array(np.concatenate(wholes))],
+                    names=["key", "h", "whole"],
+                )
+
+    return cells_of
 
-def _joined(best_only: bool):
+
+def _joined(best_only: bool, percent: int):
     """Join of a region's sets between components, by sketches; from rows sorted by region.
 
     With ``best_only`` each set names the nearest one of another component only.
@@ -273,8 +283,8 @@ def _joined(best_only: bool):
         for at in range(len(rows)):
             size = n + n[at]
             gap = _near(bits, bits[at])
-            near = (gap * (100 + PERCENT) <= (100 - PERCENT) * size) & (label != label[at])
-            near &= 100 * np.minimum(n, n[at]) >= PERCENT * np.maximum(n, n[at])
+            near = (gap * (100 + percent) <= (100 - percent) * size) & (label != label[at])
+            near &= 100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at])
             if split:
                 near &= block != block[at]
             if best_only:
@@ -310,11 +320,11 @@ def _pairs(pairs) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["s_a", "s_b"])
 
 
-def _verify(size: int):
+def _verify(size: int, percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                linked(shingles(a.as_py(), size), shingles(b.as_py(), size))
+                linked(shingles(a.as_py(), size), shingles(b.as_py(), size), percent)
                 for a, b in zip(batch.column("t_a"), batch.column("t_b"))
             ]
             chosen = batch.select(["s_a", "s_b"]).filter(pa.array(keep, pa.bool_()))
@@ -325,8 +335,8 @@ def _verify(size: int):
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, size: int, doc_id: str, text: str):
-        self.size = size
+    def __init__(self, docs: DataFrame, size: int, percent: int, doc_id: str, text: str):
+        self.size, self.percent = size, percent
         self.texts = docs.select(
             F.col(doc_id).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_digest"),
             F.col(text).alias("_text"),
@@ -334,7 +344,7 @@ class _Join:
         kind = self.texts.schema["_id"].dataType.simpleString()
         self.rows = stored(
             self.texts.mapInArrow(
-                _describe(size),
+                _describe(size, percent),
                 f"_id {kind}, _digest string, n long, s binary, h long, "
                 "sketches array<struct<m:int,bits:binary>>",
             ),
@@ -357,7 +367,7 @@ class _Join:
 
     def stars(self) -> DataFrame:
         """``key, h, pivot``: the sets that share a region with its pivot."""
-        keys = self.texts.mapInArrow(_region_rows(self.size, self.hot), "key long, h long")
+        keys = self.texts.mapInArrow(_region_rows(self.size, self.percent, self.hot), "key long, h long")
         regions = keys.repartition(F.col("key")).sortWithinPartitions("key", "h")
         return stored(regions.mapInArrow(_stars, "key long, h long, pivot long"), "jaccard_stars")
 
@@ -370,7 +380,7 @@ class _Join:
     def against_pivots(self, stars: DataFrame) -> DataFrame:
         pairs = stars.select(F.col("pivot").alias("h_a"), F.col("h").alias("h_b")).distinct()
         pairs = pairs.join(self._side("b"), "h_b").join(self._side("a"), "h_a")
-        return pairs.filter("s_a <> s_b").mapInArrow(_may_link, "s_a binary, s_b binary")
+        return pairs.filter("s_a <> s_b").mapInArrow(_may_link(self.percent), "s_a binary, s_b binary")
 
     def between_components(self, members: DataFrame, labels: DataFrame, best_only: bool) -> DataFrame:
         """Pairs of sets of a region that lie in different components and may link."""
@@ -411,7 +421,7 @@ class _Join:
             F.array_sort(F.collect_list(F.struct("h", "sketches"))).alias("pivots")
         )
         rows = rows.join(pivots, F.col("key") == F.col("of"), "left").drop("of")
-        return rows.mapInArrow(_cells, "key long, h long, whole long")
+        return rows.mapInArrow(_cells(self.percent), "key long, h long, whole long")
 
     def _in_cells(self, regions: DataFrame, named: DataFrame, best_only: bool) -> DataFrame:
         tiles = F.ceil(F.col("size") / TILE).cast("int")
@@ -424,7 +434,7 @@ class _Join:
         rows = rows.repartition(F.col("key"), F.col("low"), F.col("high")).sortWithinPartitions(
             "key", "low", "high", "s"
         )
-        return rows.mapInArrow(_joined(best_only), "s_a binary, s_b binary")
+        return rows.mapInArrow(_joined(best_only, self.percent), "s_a binary, s_b binary")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that do link, by the shingles of their whole texts."""
@@ -439,7 +449,7 @@ class _Join:
         ).select("s", "_text")
         texts = stored(texts, "jaccard_texts").dropDuplicates(["s"])
         both = pairs.join(texts.toDF("s_a", "t_a"), "s_a").join(texts.toDF("s_b", "t_b"), "s_b")
-        return stored(both.mapInArrow(_verify(self.size), "s_a binary, s_b binary"), "jaccard_links")
+        return stored(both.mapInArrow(_verify(self.size, self.percent), "s_a binary, s_b binary"), "jaccard_links")
 
     def labels(self) -> DataFrame:
         """``node, label`` of sets that link with others."""
@@ -462,9 +472,11 @@ class _Join:
         return labels
 
 
-def _members(docs: DataFrame, size: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _members(
+    docs: DataFrame, size: int, percent: int, doc_id: str, text: str
+) -> tuple[DataFrame, DataFrame]:
     """Every row with its set and the component's label, and the labels' smallest ids."""
-    join = _Join(docs, size, doc_id, text)
+    join = _Join(docs, size, percent, doc_id, text)
     labels = join.labels().withColumnRenamed("node", "s")
     groups = join.sets.join(labels, "s", "left").select(
         "s", "least", "copies", F.coalesce("label", "s").alias("label")
@@ -479,17 +491,19 @@ def _members(docs: DataFrame, size: int, doc_id: str, text: str) -> tuple[DataFr
 
 
 def jaccard_components(
-    docs: DataFrame, *, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
-    A component is what links reach; its id is the smallest document id in it. Texts without
+    Sets of ``shingle`` words link when their Jaccard similarity is ``percent`` % or more. A
+    component is what links reach; its id is the smallest document id in it. Texts without
     words have no shingles and link with nothing, so their component is their own id. Rows
     with the same shingles are one set, so copies cost one comparison however many they are.
     Null ids count for no component's id. Other columns are not read. Shingles are compared by
     64-bit hashes, sets by 128-bit ones.
     """
-    placed, _ = _members(docs, shingle, doc_id, text)
+    placed, _ = _members(docs, shingle, percent, doc_id, text)
     own = F.when(F.col("n") == 0, F.col("_id")).otherwise(F.col("component_id"))
     return placed.select(
         F.col("_id").alias("doc_id"), F.col("n").alias("n_shingles"), own.alias("component_id")
@@ -497,14 +511,17 @@ def jaccard_components(
 
 
 def keep_one(
-    docs: DataFrame, *, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """``docs`` with one document of each component: the smallest id, then digest of the text.
 
+    ``shingle`` and ``percent`` are those of :func:`jaccard_components`.
+
     All columns stay. Documents without words all stay. Of rows with the same id and text one
     stays; without ids, one of each component that has none.
     """
-    placed, _ = _members(docs, shingle, doc_id, text)
+    placed, _ = _members(docs, shingle, percent, doc_id, text)
     placed = placed.filter(F.col("n") > 0)
     first = F.min(F.struct(F.col("_id").isNull(), "_id", "_digest")).alias("k")
     kept = placed.groupBy("label").agg(first).select(
