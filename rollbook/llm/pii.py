@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,9 +14,7 @@ from .store import own, stored, wrapped
 from .words import alnum_words
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on each side of an entity that count as occurring with it.
-CONTEXT = 16
-#: Documents in which a term must stand beside an entity before it can be said to reveal it.
+#: Documents in which a term must stand with an entity before it can be said to reveal it.
 SUPPORT = 3
 #: Share of an entity's information that a term may give away; above the second it is removed.
 GENERALISE_AT = 0.75
@@ -76,85 +73,129 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
-def _context(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """The words around each entity, none of them part of an entity."""
+def _words(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
+    """The words of a text with entities that are no part of an entity."""
     if not spans:
         return []
     covered = sorted((start, end) for _, start, end in spans)
-    words, at = [], 0
+    found, at = [], 0
     for m in _WORD.finditer(text):
         while at < len(covered) and covered[at][1] <= m.start():
             at += 1
         if at == len(covered) or covered[at][0] >= m.end():
-            words.append(m.span())
-    starts = [start for start, _ in words]
-    found = []
-    for kind, start, end in spans:
-        entity = f"{kind}:{text[start:end]}"
-        middle = bisect_left(starts, start)
-        for left, right in words[max(0, middle - CONTEXT) : middle + CONTEXT]:
-            term = re.sub("[A-Z]", lambda letter: letter[0].lower(), text[left:right])
-            found.append({"entity": entity, "term": term, "start": left, "stop": right})
+            term = re.sub("[A-Z]", lambda letter: letter[0].lower(), m[0])
+            found.append({"term": term, "start": m.start(), "stop": m.end()})
     return found
 
 
+def _entities(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
+    return sorted({f"{kind}:{text[start:end]}" for kind, start, end in spans})
+
+
 _SCAN = (
     "_id {id}, _digest string, base array<struct<kind:string,start:int,stop:int>>, "
-    "context array<struct<entity:string,term:string,start:int,stop:int>>"
+    "entities array<string>, words array<struct<term:string,start:int,stop:int>>"
+)
+_MARKED = (
+    "doc_id {id}, _digest string, base array<struct<kind:string,start:int,stop:int>>, "
+    "terms array<struct<start:int,stop:int,action:string,disclosure:double>>"
 )
+_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
+_WORDS = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
+_TERMS = pa.list_(pa.struct([
+    ("start", pa.int32()), ("stop", pa.int32()), ("action", pa.string()), ("disclosure", pa.float64()),
+]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
-    words_type = pa.list_(pa.struct([
-        ("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32()),
-    ]))
     for batch in batches:
-        bases, contexts = [], []
+        bases, entities, words = [], [], []
         for value in batch.column("_text"):
             text = value.as_py() or ""
             spans = base_spans(text)
             bases.append([{"kind": k, "start": s, "stop": e} for k, s, e in spans])
-            contexts.append(_context(text, spans))
+            entities.append(_entities(text, spans))
+            words.append(_words(text, spans))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), batch.column("_digest"),
-             pa.array(bases, spans_type), pa.array(contexts, words_type)],
-            names=["_id", "_digest", "base", "context"],
+            [batch.column("_id"), batch.column("_digest"), pa.array(bases, _SPANS),
+             pa.array(entities, pa.list_(pa.string())), pa.array(words, _WORDS)],
+            names=["_id", "_digest", "base", "entities", "words"],
         )
 
 
-def _disclosure(scanned: DataFrame, docs: DataFrame, text: str, support: int, at: float) -> DataFrame:
-    """Terms and the entities they give away: ``entity, term, disclosure``.
+def _mark(remove_at: float):
+    """Every occurrence of a document's told terms as a span."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = []
+            for words, told in zip(batch.column("words"), batch.column("told")):
+                told = {t["term"]: t["disclosure"] for t in told.as_py() or ()}
+                terms.append([
+                    {"start": w["start"], "stop": w["stop"], "disclosure": told[w["term"]],
+                     "action": "remove" if told[w["term"]] >= remove_at else "generalise"}
+                    for w in (words.as_py() if told else ()) if w["term"] in told
+                ])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), batch.column("_digest"), batch.column("base"), pa.array(terms, _TERMS)],
+                names=["doc_id", "_digest", "base", "terms"],
+            )
+
+    return mark
+
+
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows with a lot by ``by``; a key that very many rows have is dealt out by lots."""
+    return rows.withColumn("lot", F.pmod(F.xxhash64(*by), F.lit(LOTS)).cast("int"))
+
+
+def _in_all_lots(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))))
+
+
+def _told(scanned: DataFrame, texts: DataFrame, support: int, at: float) -> DataFrame:
+    """Of each text the terms that give one of its entities away: ``_digest, term, disclosure``.
 
     With counts of documents n and N in all, a term tells PMI = log(n_et N / (n_e n_t)) about
-    an entity of information log(N / n_e); ``disclosure`` is the one by the other.
+    an entity of information log(N / n_e); ``disclosure`` is the one by the other, the largest
+    of the text's entities.
     """
-    total = docs.count()
-    key = F.struct("_id", "_digest")
-    pairs = scanned.select(key.alias("key"), F.explode("context").alias("c")).select(
-        "key", "c.entity", "c.term"
-    )
-    together = pairs.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    together = stored(together.filter(F.col("n_et") >= support), "pii_pairs")
-    entities = pairs.select("key", "entity").distinct().groupBy("entity").agg(
-        F.count("*").alias("n_e")
+    total = float(max(texts.count(), 1))
+    key = F.struct("_id", "_digest").alias("key")
+    holders = scanned.filter(F.size("entities") > 0).select(key, "entities", "words").distinct()
+    held = stored(holders.select("key", F.explode("entities").alias("entity")), "pii_held")
+    words = F.array_distinct(F.transform("words", lambda w: w["term"]))
+    terms = stored(holders.select("key", F.explode(words).alias("term")), "pii_terms")
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_e"))
+    documents = stored(_documents(texts, terms), "pii_documents")
+    entities = stored(entities.filter(F.col("n_e") >= support), "pii_entities")
+    recurring = _dealt(held, "key").join(_in_all_lots(entities), ["entity", "lot"])
+    pairs = recurring.select("key", "entity").join(terms, "key")
+    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    together = together.filter(F.col("n_et") >= support)
+    told = _dealt(together, "term").join(_in_all_lots(entities), ["entity", "lot"])
+    told = _dealt(told.drop("lot"), "entity").join(_in_all_lots(documents), ["term", "lot"])
+    information = F.log2(F.lit(total) / F.col("n_e"))
+    pmi = F.log2(F.col("n_et") * F.lit(total) / (F.col("n_e") * F.col("n_t")))
+    told = told.withColumn(
+        "disclosure", F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
     )
-    terms = together.select("term").distinct()
+    told = stored(told.filter(F.col("disclosure") >= at).select("entity", "term", "disclosure"), "pii_told")
+    beside = _dealt(pairs, "key").join(_in_all_lots(told), ["entity", "term", "lot"])
+    return beside.select("key._digest", "term", "disclosure")
+
+
+def _documents(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """In how many texts each of ``terms`` stands: ``term, n_t``."""
+    terms = stored(terms.select("term").distinct(), "pii_wanted")
     size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 40), F.lit(0))).first()[0]
     wanted = F.broadcast(terms) if size <= BROADCAST_BYTES else terms
-    words = docs.select(F.explode(F.array_distinct(alnum_words(F.col(text)))).alias("term"))
+    words = texts.select(F.explode(F.array_distinct(alnum_words(F.col("_text")))).alias("term"))
     if size > BROADCAST_BYTES:
         words = words.groupBy("term").agg(F.count("*").alias("n"))
     else:
         words = words.withColumn("n", F.lit(1).cast("long"))
-    documents = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
-    told = together.join(entities, "entity").join(documents, "term")
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    pmi = F.log2(F.col("n_et") * F.lit(float(max(total, 1))) / (F.col("n_e") * F.col("n_t")))
-    told = told.withColumn(
-        "disclosure", F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
-    )
-    return told.filter(F.col("disclosure") >= at).select("entity", "term", "disclosure")
+    return words.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
 def find_pii(
@@ -169,11 +210,11 @@ def find_pii(
     """Spans of every whole text: ``doc_id, _digest, base, terms``.
 
     ``base`` has kind, start and stop (code points, end exclusive) of emails, IP addresses,
-    cards and phone numbers. These are the protected entities. A word within 16 words of one
-    gives it away when the corpus says so: the two stand together in ``support`` documents or
-    more, and of the entity's information the word tells ``generalise_at`` or more, counted
-    over all documents. ``terms`` has start, stop, action (``generalise`` or ``remove``) and
-    disclosure of such words beside such entities.
+    cards and phone numbers. These are the protected entities. A word of a document
+    gives one of its entities away when the corpus says so: the two stand in ``support``
+    documents or more together, and of the entity's information the word tells
+    ``generalise_at`` or more, counted over all documents. ``terms`` has start, stop, action
+    (``generalise`` or ``remove``) and disclosure of every such word, wherever in the document.
 
     Null and empty texts have no spans. Rows with the same id and text count as one document
     in the statistics, and each is returned. Other columns are not read.
@@ -184,36 +225,18 @@ def find_pii(
     )
     kind = texts.schema["_id"].dataType.simpleString()
     scanned = stored(texts.mapInArrow(_scan, _SCAN.format(id=kind)), "pii_scan")
-    told = stored(
-        _disclosure(scanned, docs, text, support, generalise_at), "pii_disclosure"
-    )
-    # An entity that very many documents hold is dealt out by lots.
-    lots = F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1)))
-    told = told.withColumn("lot", lots)
-    beside = (
-        scanned.filter(F.size("context") > 0)
-        .select("_id", "_digest", F.explode("context").alias("c"))
-        .select("_id", "_digest", "c.*")
-        .withColumn("lot", F.pmod(F.xxhash64("_digest", "start"), F.lit(LOTS)).cast("int"))
-    )
-    action = F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise")
-    spans = (
-        beside.join(told, ["entity", "term", "lot"])
-        .groupBy("_id", "_digest", "start", "stop")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .withColumn("action", action)
-        .groupBy("_id", "_digest")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "stop", "action", "disclosure"))).alias("terms"))
-    )
-    none = F.array().cast("array<struct<start:int,stop:int,action:string,disclosure:double>>")
-    found = scanned.alias("s").join(
-        spans.alias("t"),
-        F.col("s._id").eqNullSafe(F.col("t._id")) & (F.col("s._digest") == F.col("t._digest")),
-        "left",
+    told = stored(_told(scanned, texts, support, generalise_at), "pii_disclosure")
+    told = told.groupBy("_digest", "term").agg(F.max("disclosure").alias("disclosure")).groupBy(
+        F.col("_digest").alias("_of")
+    ).agg(F.collect_list(F.struct("term", "disclosure")).alias("told"))
+    # Very many rows may have one text.
+    rows = scanned.withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(LOTS)).cast("int"))
+    found = rows.join(
+        _in_all_lots(told).withColumnRenamed("lot", "_in"),
+        (F.col("_digest") == F.col("_of")) & (F.col("lot") == F.col("_in")), "left",
     )
-    return found.select(
-        F.col("s._id").alias("doc_id"), F.col("s._digest").alias("_digest"), "base",
-        F.coalesce("terms", none).alias("terms"),
+    return found.select("_id", "_digest", "base", "words", "told").mapInArrow(
+        _mark(remove_at), _MARKED.format(id=kind)
     )
 
 
