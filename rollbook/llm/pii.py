@@ -14,8 +14,8 @@ from .store import own, stored, wrapped
 from .words import alnum_words
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents in which a term must stand with an entity before it can be said to reveal it.
-SUPPORT = 3
+#: Taken off each count of documents together: few documents are weak evidence of a share.
+CORRECTION = 0.5
 #: Share of an entity's information that a term may give away; above the second it is removed.
 GENERALISE_AT = 0.75
 REMOVE_AT = 0.9
@@ -89,7 +89,10 @@ def _words(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
 
 
 def _entities(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
-    return sorted({f"{kind}:{text[start:end]}" for kind, start, end in spans})
+    """What is protected: each string, and the mail domains, which recur where addresses do not."""
+    found = {f"{kind}:{text[start:end]}" for kind, start, end in spans}
+    found |= {f"domain:{text[start:end].rpartition('@')[2].lower()}" for kind, start, end in spans if kind == "email"}
+    return sorted(found)
 
 
 _SCAN = (
@@ -153,36 +156,47 @@ def _in_all_lots(rows: DataFrame) -> DataFrame:
     return rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))))
 
 
-def _told(scanned: DataFrame, texts: DataFrame, support: int, at: float) -> DataFrame:
+def _told(scanned: DataFrame, texts: DataFrame, at: float) -> DataFrame:
     """Of each text the terms that give one of its entities away: ``_digest, term, disclosure``.
 
-    With counts of documents n and N in all, a term tells PMI = log(n_et N / (n_e n_t)) about
-    an entity of information log(N / n_e); ``disclosure`` is the one by the other, the largest
-    of the text's entities.
+    With counts of different texts n and N in all, a term tells
+    PMI = log((n_et - 1/2) N / (n_e n_t)) about an entity of information log(N / n_e);
+    ``disclosure`` is the one by the other. A text may come several times, once for an entity.
     """
-    total = float(max(texts.count(), 1))
-    key = F.struct("_id", "_digest").alias("key")
-    holders = scanned.filter(F.size("entities") > 0).select(key, "entities", "words").distinct()
-    held = stored(holders.select("key", F.explode("entities").alias("entity")), "pii_held")
+    total = float(max(scanned.select("_digest").distinct().count(), 1))
+    holding = scanned.filter(F.size("entities") > 0)
+    held = stored(holding.select("_digest", F.explode("entities").alias("entity")).distinct(), "pii_held")
     words = F.array_distinct(F.transform("words", lambda w: w["term"]))
-    terms = stored(holders.select("key", F.explode(words).alias("term")), "pii_terms")
-    entities = held.groupBy("entity").agg(F.count("*").alias("n_e"))
-    documents = stored(_documents(texts, terms), "pii_documents")
-    entities = stored(entities.filter(F.col("n_e") >= support), "pii_entities")
-    recurring = _dealt(held, "key").join(_in_all_lots(entities), ["entity", "lot"])
-    pairs = recurring.select("key", "entity").join(terms, "key")
+    terms = stored(holding.select("_digest", F.explode(words).alias("term")).distinct(), "pii_terms")
+    different = texts.select("_digest", "_text").dropDuplicates(["_digest"])
+    documents = stored(_documents(different, terms), "pii_documents")
+    entities = stored(held.groupBy("entity").agg(F.count("*").alias("n_e")), "pii_entities")
+
+    def disclosure(n_et, n_e, n_t):
+        pmi = F.log2((n_et - CORRECTION) * total / (n_e * n_t))
+        information = F.log2(F.lit(total) / n_e)
+        return F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
+
+    # What one text holds stands with each of its words once, so no pairs need be counted.
+    one = F.lit(1.0)
+    telling = documents.withColumn("disclosure", disclosure(one, one, F.col("n_t")))
+    telling = telling.filter(F.col("disclosure") >= at).select("term", "disclosure")
+    alone = held.join(entities.filter("n_e = 1"), "entity", "left_semi").select("_digest").distinct()
+    by_one = _dealt(terms.join(alone, "_digest", "left_semi"), "_digest").join(
+        _in_all_lots(telling), ["term", "lot"]
+    )
+
+    recurring = entities.filter("n_e > 1")
+    pairs = _dealt(held, "_digest").join(_in_all_lots(recurring), ["entity", "lot"])
+    pairs = stored(pairs.select("_digest", "entity"), "pii_recurring").join(terms, "_digest")
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    together = together.filter(F.col("n_et") >= support)
-    told = _dealt(together, "term").join(_in_all_lots(entities), ["entity", "lot"])
+    told = _dealt(together, "term").join(_in_all_lots(recurring), ["entity", "lot"])
     told = _dealt(told.drop("lot"), "entity").join(_in_all_lots(documents), ["term", "lot"])
-    information = F.log2(F.lit(total) / F.col("n_e"))
-    pmi = F.log2(F.col("n_et") * F.lit(total) / (F.col("n_e") * F.col("n_t")))
-    told = told.withColumn(
-        "disclosure", F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
-    )
+    told = told.withColumn("disclosure", disclosure(F.col("n_et"), F.col("n_e"), F.col("n_t")))
     told = stored(told.filter(F.col("disclosure") >= at).select("entity", "term", "disclosure"), "pii_told")
-    beside = _dealt(pairs, "key").join(_in_all_lots(told), ["entity", "term", "lot"])
-    return beside.select("key._digest", "term", "disclosure")
+    by_many = _dealt(pairs, "_digest").join(_in_all_lots(told), ["entity", "term", "lot"])
+    columns = ["_digest", "term", "disclosure"]
+    return by_one.select(columns).unionByName(by_many.select(columns))
 
 
 def _documents(texts: DataFrame, terms: DataFrame) -> DataFrame:
@@ -203,21 +217,22 @@ def find_pii(
     *,
     doc_id: str = "doc_id",
     text: str = "text",
-    support: int = SUPPORT,
     generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
 ) -> DataFrame:
     """Spans of every whole text: ``doc_id, _digest, base, terms``.
 
     ``base`` has kind, start and stop (code points, end exclusive) of emails, IP addresses,
-    cards and phone numbers. These are the protected entities. A word of a document
-    gives one of its entities away when the corpus says so: the two stand in ``support``
-    documents or more together, and of the entity's information the word tells
-    ``generalise_at`` or more, counted over all documents. ``terms`` has start, stop, action
-    (``generalise`` or ``remove``) and disclosure of every such word, wherever in the document.
-
-    Null and empty texts have no spans. Rows with the same id and text count as one document
-    in the statistics, and each is returned. Other columns are not read.
+    cards and phone numbers. These, and the domains of emails, are the protected entities. A
+    word of a document gives one of its entities away when the corpus says so: of the entity's
+    information the word tells ``generalise_at`` or more, counted over all documents. Every
+    pair counts, however few documents hold it; half a document is taken off the count of
+    those that hold both, so that below 16 different texts no single one says enough.
+    ``terms`` has start, stop, action (``generalise`` or ``remove``) and disclosure of every
+    such word, wherever in the document.
+
+    Null and empty texts have no spans. Equal texts count as one document in the statistics,
+    whatever their ids, and each row is returned. Other columns are not read.
     """
     texts = docs.select(
         F.col(doc_id).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_digest"),
@@ -225,7 +240,7 @@ def find_pii(
     )
     kind = texts.schema["_id"].dataType.simpleString()
     scanned = stored(texts.mapInArrow(_scan, _SCAN.format(id=kind)), "pii_scan")
-    told = stored(_told(scanned, texts, support, generalise_at), "pii_disclosure")
+    told = stored(_told(scanned, texts, generalise_at), "pii_disclosure")
     told = told.groupBy("_digest", "term").agg(F.max("disclosure").alias("disclosure")).groupBy(
         F.col("_digest").alias("_of")
     ).agg(F.collect_list(F.struct("term", "disclosure")).alias("told"))
