@@ -6,7 +6,8 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -23,7 +24,7 @@ BRIDGES = {
     (USER, USER): ASSISTANT, (ASSISTANT, ASSISTANT): USER,
 }
 MERGE, RELABEL, INSERT = 1, 3, 2
-#: Turn numbers that one task repairs together.
+#: Turns that one task repairs together.
 BLOCK = 1024
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
@@ -165,25 +166,28 @@ def format_chat(
     conversation's pieces joined in order are the rendered conversation, so that no row grows
     with the length of a conversation.
 
-    A conversation is cut by turn number into blocks of 1,024. A block's costs from each state
+    A conversation is cut by place into blocks of 1,024 turns. A block's costs from each state
     to each state form a small matrix; the matrices of a conversation tell the states between
     its blocks, and each block is then repaired on its own. Turns of one block are held by a
-    task together; more than 1,024 only if turn numbers repeat.
+    task together, and those are never more than 1,024. Places come from one sort of all
+    turns, dealt out by ranges that also part equal turns.
 
     Roles other than system, user and assistant, and null, have to be relabelled. Null texts
     are empty; marks of the format inside a text are broken up. Repeated turn numbers are
     ordered by role and text, null ones come last. Null ids are one conversation. Other
     columns are not read.
     """
-    rows = turns.select(
-        F.col(conv_id).alias("_conv"),
-        F.coalesce(F.floor(F.col(turn) / BLOCK).cast("long"), F.lit(1 << 62)).alias("_block"),
-        F.col(turn).cast("long").alias("_turn"), F.col(role).alias("_role"), F.col(text).alias("_text"),
+    turn_rows = turns.select(
+        F.col(conv_id).alias("_conv"), F.col(turn).cast("long").alias("_turn"),
+        F.col(role).alias("_role"), F.col(text).alias("_text"),
+        # The number as given, for the order; and a tie, so that equal rows part too.
+        F.col(turn).alias("_given"), F.monotonically_increasing_id().alias("_tie"),
     )
-    kind = rows.schema["_conv"].dataType.simpleString()
+    kind = turn_rows.schema["_conv"].dataType.simpleString()
+    rows = _placed(turn_rows, kind)
     long_ones = (
-        rows.groupBy("_conv").agg(F.min("_block").alias("first"), F.max("_block").alias("final"))
-        .filter("first < final").select(F.col("_conv").alias("long_conv"))
+        rows.groupBy("_conv").agg(F.max("_block").alias("final"))
+        .filter("final > 0").select(F.col("_conv").alias("long_conv"))
     )
     long_ones = stored(long_ones, "chat_long")
     slim = rows.drop("_text").join(long_ones, F.col("_conv").eqNullSafe(F.col("long_conv")), "left_semi")
@@ -225,13 +229,57 @@ def format_chat(
         if found:
             yield pa.RecordBatch.from_pylist(found, arrow_out)
 
-    return _sorted(placed, "_text").mapInArrow(pieces, out_schema)
+    return _sorted(placed).mapInArrow(pieces, out_schema)
 
 
-def _sorted(rows: DataFrame, *by: str) -> DataFrame:
+def _placed(turn_rows: DataFrame, kind: str) -> DataFrame:
+    """The turns with their place in the conversation and the block of 1,024 places it is in."""
+    order = [
+        F.col("_conv"), F.col("_given").asc_nulls_last(), F.col("_role"), F.col("_text"), F.col("_tie"),
+    ]
+    dealt = turn_rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_given", "_tie")
+    counted = stored(
+        dealt.mapInArrow(
+            _count, f"_conv {kind}, _turn long, _role string, _text string, _part int, _local long"
+        ),
+        "chat_counted",
+    )
+    # Only a conversation that goes over the end of a range has several parts.
+    parts = counted.groupBy("_conv", "_part").agg((F.max("_local") + 1).alias("n"))
+    own = Window.partitionBy("_conv")
+    before = F.sum("n").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(
+        F.col("_conv").alias("_of"), F.col("_part").alias("_in"), before.alias("_before")
+    ).filter("_before is not null")
+    same = F.col("_conv").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in"))
+    # At most one for each range.
+    place = F.col("_local") + F.coalesce("_before", F.lit(0))
+    return counted.join(F.broadcast(stored(parts, "chat_parts")), same, "left").select(
+        "_conv", F.floor(place / BLOCK).cast("long").alias("_block"), place.alias("_place"),
+        "_turn", "_role", "_text",
+    )
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the turns of each conversation in this range, from sorted rows."""
+    part, known, at = TaskContext.get().partitionId(), None, -1
+    for batch in batches:
+        local = []
+        for conv in batch.column("_conv").to_pylist():
+            at = at + 1 if (conv,) == known else 0
+            known = (conv,)
+            local.append(at)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([part] * len(local), pa.int32()), pa.array(local, pa.int64())],
+            names=[*batch.schema.names, "_part", "_local"],
+        )
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
     """The rows of a block in one task, in order of their turns."""
-    order = [F.col("_conv"), F.col("_block"), F.col("_turn").asc_nulls_last(), F.col("_role"), *by]
-    return rows.repartition(F.col("_conv"), F.col("_block")).sortWithinPartitions(*order)
+    return rows.repartition(F.col("_conv"), F.col("_block")).sortWithinPartitions(
+        "_conv", "_block", "_place"
+    )
 
 
 def _arrow(df: DataFrame, schema: str) -> pa.Schema:

@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+from collections import Counter
+
+from test_chat import _rendered, _turns
+
+from rollbook.llm import chat
+from rollbook.llm.chat import format_chat
+
+
+def test_no_block_has_more_turns_than_it_may(spark, monkeypatch):
+    """Null ids with ordinary, repeated and null turn numbers, and many equal turns."""
+    monkeypatch.setattr(chat, "BLOCK", 16)
+    rows = [(None, n % 8, ("user", "assistant")[n % 2], f"t{n:04d}") for n in range(300)]
+    rows += [(None, None, "user", "same")] * 150 + [(1, n, "user", f"u{n:02d}") for n in range(40)]
+    rows += [(2, None, "assistant", "a"), (2, 3, "user", "q")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    found = format_chat(turns)
+    pieces = found.collect()
+    sizes = Counter((p.conv_id, p.block) for p in pieces if p.action != "insert")
+    assert max(sizes.values()) <= 16 and sum(sizes.values()) == len(rows)
+    rendered = _rendered(found)
+    for conv in (None, 1, 2):
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is None, r[1] or 0, r[2], r[3]))
+        said = [word for _, t in _turns(rendered[conv]) for word in t.split()]
+        assert said == [r[3] for r in own]
