@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     chat,
     decontamination,
     jaccard_join,
@@ -144,6 +145,14 @@ def op10_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(_table(spark, sf_dir, "documents"))
+    rows = stored(alignment.digested(aligned), "align_rows")
+    return alignment.link_totals(rows, alignment.pair_counts(rows)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -273,6 +282,7 @@ def queries() -> dict[str, Query]:
             op8_chat_formatting,
             op9_quality_resampling,
             op10_streaming_dedup,
+            op11_tokenizer_alignment,
         )
     }
 
