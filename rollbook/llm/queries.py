@@ -18,6 +18,7 @@ from . import (
     sharding,
     streaming_dedup,
     toxicity,
+    turn_alignment,
     url_filters,
 )
 from .store import stored
@@ -153,6 +154,37 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns damaged by a checksum of conversation and number; nulls count as one space."""
+    space = F.lit(" ")
+    key = F.concat_ws(
+        ":", *[F.coalesce(F.col(name).cast("string"), space) for name in ("conv_id", "turn")]
+    )
+    way = F.crc32(key) % 20
+    text = F.coalesce("text", space)
+    return turns.withColumns({"_way": way, "_text": text}).filter("_way <> 0").select(
+        "conv_id", "turn",
+        F.when(F.col("_way") == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(F.col("_way") == 1, "")
+        .when(F.col("_way") == 2, F.regexp_replace("_text", "[.!?]", ""))
+        .otherwise(F.col("_text")).alias("text"),
+        F.explode(F.when(F.col("_way") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy"),
+    ).drop("_copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    edits = turn_alignment.repair(damaged(turns))
+    found = turn_alignment.summaries(edits).withColumnRenamed("conv_id", "_of")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    every = turns.select("conv_id").distinct()
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("_of")), "left").select(
+        "conv_id", *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -283,6 +315,7 @@ def queries() -> dict[str, Query]:
             op9_quality_resampling,
             op10_streaming_dedup,
             op11_tokenizer_alignment,
+            op12_conversation_repair,
         )
     }
 
