@@ -13,6 +13,7 @@ from . import (
     decontamination,
     jaccard_join,
     mixing,
+    nearest,
     pii,
     resampling,
     sharding,
@@ -185,6 +186,13 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return nearest.nearest(embeddings, F.col("vec_id") % 50 == 0).select(
+        "query_id", "rank", "vec_id", "score"
+    )
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -316,6 +324,7 @@ def queries() -> dict[str, Query]:
             op10_streaming_dedup,
             op11_tokenizer_alignment,
             op12_conversation_repair,
+            op13_nearest_neighbours,
         )
     }
 
