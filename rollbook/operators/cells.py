@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.scratch import written
+
 CELL_KEY = ["row_key", "family", "qualifier"]
 
 # Parts that the versions of a cell are dealt to, so that a hot one is not one task's.
@@ -51,8 +53,22 @@ def _version() -> Column:
     return F.struct("ts", "value")
 
 
-def _name(column: Pair) -> str:
-    return ":".join(part or "" for part in column)
+def _names(columns: Sequence[Pair]) -> list[str]:
+    """``family:qualifier`` of each, told apart also by those who ignore case.
+
+    Where two names meet, the later one gets ``#2``, ``#3`` and so on.
+    """
+    taken: set[str] = set()
+    names = []
+    for column in columns:
+        plain = name = ":".join(part or "" for part in column)
+        number = 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{plain}#{number}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def _table(cells: DataFrame, columns: Sequence[Pair]) -> DataFrame:
@@ -60,7 +76,9 @@ def _table(cells: DataFrame, columns: Sequence[Pair]) -> DataFrame:
 
     Cells go down to one version each, then they are gathered by row. The first step
     leaves a hot row at most one cell per column, so what the second gathers is
-    bounded by the number of columns.
+    bounded by the number of columns. The gathered cells are in order of their columns;
+    the gaps between them are filled with nulls in one pass, so that each output column
+    is read off by its place, however many there are.
     """
     # A row per output column, so as bounded as the output's schema.
     positions = cells.sparkSession.createDataFrame(
@@ -82,10 +100,19 @@ def _table(cells: DataFrame, columns: Sequence[Pair]) -> DataFrame:
     rows = (
         newest.repartition("row_key")
         .groupBy("row_key")
-        .agg(F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("row"))
+        .agg(F.array_sort(F.collect_list(F.struct("position", "value"))).alias("cells"))
+    )
+    none = F.lit(None).cast("string")
+    before = F.concat(F.array(F.lit(-1)), F.transform("cells", lambda cell: cell["position"]))
+    filled = F.zip_with(
+        "cells", F.slice(before, 1, F.size("cells")),
+        lambda cell, last: F.concat(
+            F.array_repeat(none, cell["position"] - last - 1), F.array(cell["value"])
+        ),
     )
+    rows = rows.select("row_key", F.flatten(filled).alias("row"))
     return rows.select(
-        "row_key", *[F.col("row")[i].alias(_name(column)) for i, column in enumerate(columns)]
+        "row_key", *[F.get("row", F.lit(i)).alias(name) for i, name in enumerate(_names(columns))]
     )
 
 
@@ -94,7 +121,9 @@ def cells_select(cells: DataFrame, request: str | Sequence[Pair]) -> DataFrame:
 
     ``request`` is ``fam:col1:col2,fam2:col3``, or a list of (family, qualifier)
     pairs, which may hold ``:``, ``,`` and None. Columns are ``row_key`` and
-    ``family:qualifier`` in the order requested; a missing cell is null.
+    ``family:qualifier`` in the order requested; a missing cell is null. Where two such
+    names are the same but for case, the later one ends in ``#2`` and so on, as most sinks
+    hold only one of them.
     """
     columns = parse_columns(request) if isinstance(request, str) else list(dict.fromkeys(request))
     if not columns:
@@ -138,15 +167,12 @@ def _same(other: dict[str, str]) -> Column:
     return same
 
 
-def cells_drop(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """Cells without the newest version of each target cell.
+def _newest_of_targets(cells: DataFrame, targets: DataFrame) -> DataFrame:
+    """The newest version of each target cell that there is, written to be read back.
 
-    ``targets`` has ``row_key, family, qualifier``; older versions stay. Cells that no
-    target names are parted from the others first, so with few targets, which Spark
-    broadcasts by its own size check, no such cell is shuffled. With many, the versions
-    of a cell are dealt to 16 lots, so that a hot cell is no single task's.
+    Versions meet the targets in lots, so that a hot cell is no single task's, and are
+    reduced to one for each task before they cross.
     """
-    columns = cells.columns
     theirs = {name: f"_target_{name}" for name in CELL_KEY}
     lots = F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1)))
     keys = (
@@ -154,14 +180,27 @@ def cells_drop(cells: DataFrame, targets: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("_target_lot", lots)
     )
-    dealt = cells.withColumn("_lot", F.pmod(F.xxhash64("ts", "value"), F.lit(LOTS)).cast("int"))
-    named = _same(theirs | {"_lot": "_target_lot"})
-    untouched = dealt.join(keys, named, "left_anti").select(*columns)
-    hit = dealt.join(keys, named, "left_semi").select(*columns)
-    newest = (
-        hit.groupBy(*[F.col(name).alias(their) for name, their in theirs.items()])
-        .agg(F.max(_version()).alias("_newest"))
-        .select(*theirs.values(), F.col("_newest.ts").alias("_ts"), F.col("_newest.value").alias("_value"))
+    dealt = cells.select(*CELL_KEY, "ts", "value").withColumn(
+        "_lot", F.pmod(F.xxhash64("ts", "value"), F.lit(LOTS)).cast("int")
     )
-    older = hit.join(newest, _same(theirs | {"ts": "_ts", "value": "_value"}), "left_anti")
-    return untouched.unionByName(older)
+    hit = dealt.join(keys, _same(theirs | {"_lot": "_target_lot"}), "left_semi")
+    newest = hit.groupBy(*CELL_KEY).agg(F.max(_version()).alias("newest"))
+    return written(newest.select(*CELL_KEY, "newest.ts", "newest.value"), "newest_cells")
+
+
+def cells_drop(cells: DataFrame, targets: DataFrame) -> DataFrame:
+    """Cells without the newest version of each target cell.
+
+    ``targets`` has ``row_key, family, qualifier``; older versions stay. A job of its own
+    finds the newest versions of the targets, one row for each. The result then reads
+    ``cells`` once and leaves out what equals one of those rows. With few targets, which
+    Spark broadcasts by its own size check, no cell is shuffled by either. With many, cells
+    are shuffled once to find the newest, dealt to 16 lots, and once to leave them out, by
+    cell and version, so that a hot cell is no single task's.
+    """
+    newest = _newest_of_targets(cells, targets)
+    mark = "_newest_"
+    while any(name.lower().startswith(mark) for name in cells.columns):
+        mark = "_" + mark
+    same = _same({name: mark + name for name in newest.columns})
+    return cells.join(newest.toDF(*[mark + name for name in newest.columns]), same, "left_anti")

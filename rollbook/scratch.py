@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def hadoop_file(spark: SparkSession, path: str):
@@ -28,3 +28,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         file_system.mkdirs(location)
         file_system.deleteOnExit(location)
     return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a path of :func:`scratch_path` and read again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

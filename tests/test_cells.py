@@ -180,3 +180,28 @@ def test_fixture_counts(spark):
     ]
     assert rb.cells_pivot(cells).count() == 10000
     assert rb.cells_select(cells, "meta:user").count() == 7986
+
+
+def test_names_that_a_sink_can_hold(spark, tmp_path):
+    rows = [
+        ("r", "F", "q", 1, "upper"), ("r", "f", "q", 1, "lower"), ("r", None, "x", 1, "null"), ("r", "", "x", 1, "empty"),
+        ("r", "a:b", "c", 1, "left"), ("r", "a", "b:c", 1, "right"), ("r", "f", "q#2", 1, "numbered"),
+    ]
+    cells = _cells(spark, rows)
+    pivoted = rb.cells_pivot(cells)
+    assert pivoted.columns == ["row_key", ":x", ":x#2", "F:q", "a:b:c", "a:b:c#2", "f:q#2", "f:q#2#2"]
+    for write in (pivoted.write.parquet, pivoted.write.orc, pivoted.write.json):
+        write(str(tmp_path / write.__name__))
+    held = spark.read.parquet(str(tmp_path / "parquet")).collect()
+    assert [tuple(r) for r in held] == [("r", "null", "empty", "upper", "right", "left", "lower", "numbered")]
+    selected = rb.cells_select(cells, [("f", "q"), ("F", "q")])
+    assert selected.columns == ["row_key", "f:q", "F:q#2"] and _rows(selected) == [("r", "lower", "upper")]
+
+
+def test_drop_keeps_other_columns(spark):
+    rows = [("r", "f", "q", 1, "a"), ("r", "f", "q", 2, "b"), ("s", "f", "q", 2, "b")]
+    cells = _cells(spark, rows).withColumns({"_newest_ts": F.lit(2), "extra": F.lit("e"), "_lot": F.lit(0)})
+    targets = spark.createDataFrame([("r", "f", "q")], SCHEMA.split(", ts")[0])
+    left = rb.cells_drop(cells, targets)
+    assert left.columns == cells.columns
+    assert _rows(left) == [(*rows[0], 2, "e", 0), (*rows[2], 2, "e", 0)]

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import rollbook as rb
+from rollbook import scratch
+from rollbook.operators import cells as cells_module
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -80,28 +82,57 @@ def test_column_names_read_two_columns(stored_cells):
     assert "ReadSchema: struct<family:string,qualifier:string>" in _plan(rb.cell_columns(stored_cells))
 
 
-def test_drop_spreads_versions_of_one_cell(stored_cells, no_broadcast):
-    targets = stored_cells.filter("qualifier = 'user'")
-    plan = _plan(rb.cells_drop(stored_cells, targets))
-    dealt = re.findall(r"hashpartitioning\((.*?), \d+\), ENSURE", plan)
-    of_cells = [keys for keys in dealt if "_lot" in keys or "value" in keys]
-    assert len(of_cells) >= 4 and "Window" not in plan and "partial_max" in plan
+def _plans_run(spark, monkeypatch, make) -> list[str]:
+    """The plans of what ``make`` writes on its way and of what it returns."""
+    plans = []
+    written = scratch.written
 
+    def seen(df, label):
+        plans.append(_plan(df))
+        return written(df, label)
 
-def test_few_targets_leave_other_cells_unshuffled(spark, tmp_path):
+    monkeypatch.setattr(cells_module, "written", seen)
+    made = make()
+    monkeypatch.setattr(cells_module, "written", written)
+    return [*plans, _plan(made)]
+
+
+def test_drop_reads_cells_once_and_spreads_versions(spark, stored_cells, no_broadcast, monkeypatch):
+    targets = stored_cells.filter("qualifier = 'user'").select("row_key", "family", "qualifier")
+    targets = scratch.written(targets, "targets")
+    found, left = _plans_run(spark, monkeypatch, lambda: rb.cells_drop(stored_cells, targets))
+    # Cells are read once by each, and the rows that the first job wrote by the second.
+    assert found.count("/cells]") == 1 and left.count("/cells]") == 1 and left.count("FileScan") == 2
+    assert "_lot" in found and "partial_max" in found and "Window" not in found + left
+    # The versions of a cell are dealt by their time and value as well.
+    dealt = re.findall(r"hashpartitioning\((.*?), \d+\), ENSURE", left)
+    assert len(dealt) == 2 and all("ts#" in keys and "value#" in keys for keys in dealt)
+
+
+def test_few_targets_leave_all_cells_unshuffled(spark, tmp_path, monkeypatch):
     rows = spark.range(20_000).selectExpr(
         "cast(id as string) row_key", "'f' family", "'q' qualifier", "id ts", "'v' value"
     )
     rows.write.parquet(str(tmp_path / "cells"))
     cells = spark.read.parquet(str(tmp_path / "cells"))
     targets = cells.filter("ts < 5").select("row_key", "family", "qualifier")
-    targets.write.parquet(str(tmp_path / "targets"))
-    left = rb.cells_drop(cells, spark.read.parquet(str(tmp_path / "targets")))
-    assert left.count() == 19_995
-    plan = _plan(left)
-    # Every exchange of cells lies above the semi join with the targets.
-    for side in plan.split("Exchange hashpartitioning")[1:]:
-        assert "LeftSemi" in side or "_target_row_key" in side.split("\n")[0]
+    targets = scratch.written(targets, "targets")
+    found, left = _plans_run(spark, monkeypatch, lambda: rb.cells_drop(cells, targets))
+    assert rb.cells_drop(cells, targets).count() == 19_995
+    assert _exchanges(left) == 0 and "BroadcastHashJoin" in left and left.count("FileScan") == 2
+    # Of the first job only what the targets hit crosses, and the targets themselves.
+    assert "LeftSemi" in found.split("partial_max")[1]
+
+
+@pytest.mark.parametrize("width", [4, 900])
+def test_cells_are_gathered_by_place(spark, width):
+    rows = spark.range(4000).selectExpr(
+        "cast(id % 7 as string) row_key", "'f' family", f"concat('q', id % {width}) qualifier", "id ts", "'v' value"
+    )
+    table = rb.cells_select(rows, [("f", f"q{n}") for n in range(width)])
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    # One pass fills the gaps; no map is searched for any column.
+    assert plan.count("flatten(zip_with") == 1 and "map_from_entries" not in plan
 
 
 def test_counting_tables_reads_no_columns(spark):
