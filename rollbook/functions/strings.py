@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from rollbook.names import exactly
+
 # Digits only; optional sign, digits, a point and at least one digit.
 # \A and \z hold the whole text, where $ would let a final line break pass.
 INT_PATTERN = r"\A\d+\z"
@@ -21,11 +23,6 @@ JSON_OPENING = r'\A[ \t\r\n]*[\[{"]'
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def _column(name: str) -> Column:
-    """The column of exactly this name, dots and all."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def is_empty(text: Column) -> Column:
     """Null or of length 0; blanks count as text."""
     return text.isNull() | (F.length(text) == 0)
@@ -70,7 +67,7 @@ CHECKS = {"is_empty": is_empty, "is_int": is_int, "is_double": is_double, "is_js
 def classify_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<c>_is_empty``, ``_is_int``, ``_is_double`` and ``_is_json`` per column."""
     return df.withColumns(
-        {f"{c}_{name}": check(_column(c)) for c in columns for name, check in CHECKS.items()}
+        {f"{c}_{name}": check(exactly(c)) for c in columns for name, check in CHECKS.items()}
     )
 
 
@@ -87,10 +84,10 @@ def profile_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.struct(
                     F.lit(c).alias("column"),
                     F.count("*").alias("rows"),
-                    F.count_if(is_empty(_column(c))).alias("empties"),
-                    F.count_if(is_int(_column(c))).alias("ints"),
-                    F.count_if(is_double(_column(c))).alias("doubles"),
-                    F.count_if(is_json(_column(c))).alias("jsons"),
+                    F.count_if(is_empty(exactly(c))).alias("empties"),
+                    F.count_if(is_int(exactly(c))).alias("ints"),
+                    F.count_if(is_double(exactly(c))).alias("doubles"),
+                    F.count_if(is_json(exactly(c))).alias("jsons"),
                 )
                 for c in columns
             ]
@@ -104,6 +101,6 @@ def replace_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     if columns is None:
         return df.na.fill("")
     for c in columns:
-        if not isinstance(df.select(_column(c)).schema[0].dataType, StringType):
+        if not isinstance(df.select(exactly(c)).schema[0].dataType, StringType):
             raise TypeError(f"column {c} is not a string column")
-    return df.withColumns({c: F.coalesce(_column(c), F.lit("")) for c in columns})
+    return df.withColumns({c: F.coalesce(exactly(c), F.lit("")) for c in columns})

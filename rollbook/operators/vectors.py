@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from rollbook.names import column_of
+
 
 def _number_and_vector(df: DataFrame, number: str, name: str, features: str) -> DataFrame:
-    pair = df.select(F.col(number).cast("double").alias(name), F.col(features).alias("features"))
+    pair = df.select(
+        column_of(df, number).cast("double").alias(name), column_of(df, features).alias("features")
+    )
     data_type = pair.schema["features"].dataType
     if isinstance(data_type, VectorUDT):
         return pair

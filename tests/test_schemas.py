@@ -100,8 +100,21 @@ def test_variants_and_intervals_both_ways(spark, value):
         rb.set_nullable(none, "c", False).write.format("noop").mode("overwrite").save()
 
 
-def test_vectors_cannot_be_tightened(spark):
-    df = spark.range(1).select(F.array(F.lit(1.0)).alias("a"))
-    vectors = df.select(array_to_vector("a").alias("v"))
-    with pytest.raises(TypeError, match="vector"):
-        rb.set_nullable(vectors, "v", False)
+@pytest.mark.parametrize("shape", ["v", "struct(v, k) AS v", "array(v, null) AS v", "map(k, v) AS v"])
+def test_vectors_are_tightened_without_python(spark, shape):
+    arrays = spark.createDataFrame([(1, [1.0, 2.5]), (2, [])], "k int, a array<double>")
+    vectors = arrays.select("k", F.when(F.col("k") < 9, array_to_vector("a")).alias("v"), F.lit("x").alias("z.z"))
+    df = vectors.selectExpr("k", shape, "`z.z`").withColumn("v", F.when(F.col("k") > 0, F.col("v")))
+    df = df.select("k", F.col("v").alias("v", metadata={"m": 1}), "`z.z`")
+    assert df.schema["v"].nullable
+    tight = rb.set_nullable(df, "v", False)
+    assert tight.schema["v"] == T.StructField("v", df.schema["v"].dataType, False, {"m": 1})
+    assert tight.schema["v"].metadata == {"m": 1} and tight.columns == df.columns
+    assert tight.collect() == df.collect() and tight.filter("k = 2").count() == 1
+    plan = tight._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert rb.set_nullable(tight, "v", True).schema["v"].nullable
+    none = rb.set_nullable(df.withColumn("v", F.when(F.col("k") > 1, F.col("v"))), "v", False)
+    for run in (none.collect, none.count):
+        with pytest.raises(Exception, match="null in column v"):
+            run()

@@ -59,3 +59,16 @@ def test_a_null_feature_fails(spark):
 def test_other_types_are_refused(spark):
     with pytest.raises(TypeError):
         rb.labeled_points(spark.createDataFrame([(1, "x")], "y int, x string"), "y", "x")
+
+
+def test_names_with_dots_and_paths_into_structs(spark, tmp_path):
+    df = spark.createDataFrame([(1, [2.0], 0, "1996-02-10")], "`y.y` int, `x.x` array<double>, `t.t` bigint, `d.d` string")
+    assert tuple(rb.labeled_points(df, "y.y", "x.x").collect()[0]) == (1.0, DenseVector([2.0]))
+    assert tuple(rb.unlabeled_vectors(df, "y.y", "x.x").collect()[0]) == (1.0, DenseVector([2.0]))
+    assert rb.with_time_string(df, "t.t", "time").collect()[0].time == "1970-01-01 00:00:00"
+    assert str(rb.with_month_bounds(df, "d.d").collect()[0].month_end) == "1996-02-29"
+    rb.write_text(df, str(tmp_path / "text"), "d.d")
+    assert rb.read_text(spark, str(tmp_path / "text")).collect()[0].value == "1996-02-10"
+    inside = df.selectExpr("struct(`d.d` AS date, `y.y` AS n) AS s", "`x.x` AS x")
+    assert str(rb.with_month_bounds(inside, "s.date").collect()[0].month_start) == "1996-02-01"
+    assert rb.labeled_points(inside, "s.n", "x").collect()[0].label == 1.0
