@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -36,8 +35,3 @@ def read_text(spark: SparkSession, path: str, wholetext: bool = False) -> DataFr
     tasks, so leave it off for large files.
     """
     return spark.read.text(path, wholetext=wholetext)
-
-
-def joined_lines(text: DataFrame) -> DataFrame:
-    """Whole-file rows of :func:`read_text` with the line ends taken out."""
-    return text.select(F.regexp_replace("value", r"\r\n|\r|\n", "").alias("value"))

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import codecs
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rollbook.operators.cells import cells_pivot, cells_select
 from rollbook.scratch import hadoop_file
-from rollbook.sources.readers import joined_lines, read_parquet, read_text
+from rollbook.sources.readers import read_parquet
 from rollbook.sources.tables import read_table
 
 # The descriptor's field names and the one dbType that means a catalog table.
 HIVE = "Hive"
+# Fixed value: the longest path of HDFS, which no store that Spark reads goes beyond.
+PATH_LENGTH = 8000
+#: Bytes that are read at once.
+PIECE_BYTES = 4096
+#: Characters of a word, number or escape that may be cut short by the end of a piece.
+UNSETTLED = 16
 
 
 @dataclass(frozen=True)
@@ -72,16 +79,63 @@ def load_source(
     return cells_pivot(cells) if request == "*" else cells_select(cells, request)
 
 
+def _lines(spark: SparkSession, path: str) -> Iterator[str]:
+    """Text of a file, piece by piece, without its line ends. Nothing is read ahead."""
+    file_system, location = hadoop_file(spark, path)
+    stream = file_system.open(location)
+    decode = codecs.getincrementaldecoder("utf-8")("replace").decode
+    try:
+        while piece := bytes(stream.readNBytes(PIECE_BYTES)):
+            yield decode(piece).replace("\r", "").replace("\n", "")
+        yield decode(b"", True)
+    finally:
+        stream.close()
+
+
+def _may_go_on(text: str) -> bool:
+    """Whether ``text`` may be the beginning of a JSON object; a whole one may be followed by blanks."""
+    try:
+        _, end = json.JSONDecoder().raw_decode(text)
+    except json.JSONDecodeError as wrong:
+        # The parser stops where it lacks text, or at the start of a string without an end.
+        rest = text[wrong.pos :].strip()
+        return wrong.msg.startswith("Unterminated string") or len(rest) < UNSETTLED
+    return not text[end:].strip()
+
+
+def named_source(pieces: Iterator[str], where: str) -> str:
+    """The descriptor or path that ``pieces`` of text make up.
+
+    Reading ends as soon as the text can be neither: when what begins with ``{`` is no JSON
+    object, or goes on after one, and when anything else is longer than a path can be. The
+    text is looked at whenever it has doubled, so that a whole one costs no more than twice
+    its length to check.
+    """
+    text, checked = "", 0
+    for piece in pieces:
+        text += piece
+        is_object = text.lstrip().startswith("{")
+        if is_object and len(text) >= 2 * checked:
+            checked = len(text)
+            if not _may_go_on(text.lstrip()):
+                raise ValueError(f"{where} holds neither a source descriptor nor a path")
+        if not is_object and len(text.strip()) > PATH_LENGTH:
+            raise ValueError(f"{where} holds neither a source descriptor nor a path")
+    if text.lstrip().startswith("{") and parse_descriptor(text) is None:
+        raise ValueError(f"{where} holds neither a source descriptor nor a path")
+    return text
+
+
 def source_text(spark: SparkSession, path: str) -> str:
     """What :func:`load_source` should be given for ``path``.
 
     A folder or a Parquet file stands for itself. By the caller's word any other
-    file holds the descriptor (or the path) in its lines, and is read on the driver.
+    file holds the descriptor (or the path) in its lines. It is read on the driver, and
+    only until it can be neither, so that a file given by mistake costs nothing.
     """
     if path.endswith(".parquet"):
         return path
     file_system, location = hadoop_file(spark, path)
     if file_system.getFileStatus(location).isDirectory():
         return path
-    lines = joined_lines(read_text(spark, path, wholetext=True)).collect()
-    return "".join(row["value"] for row in lines)
+    return named_source(_lines(spark, path), path)

@@ -43,21 +43,32 @@ def _unquoted(name: str) -> str:
     return name
 
 
-def table_row_counts(spark: SparkSession) -> DataFrame:
+def _chosen(names: list[str], wanted: Sequence[str] | None) -> list[str]:
+    """Those of ``names`` that are wanted; a catalog's names ignore case."""
+    if wanted is None:
+        return names
+    lower = {name.lower() for name in wanted}
+    return [name for name in names if name.lower() in lower]
+
+
+def table_row_counts(
+    spark: SparkSession, databases: Sequence[str] | None = None, tables: Sequence[str] | None = None
+) -> DataFrame:
     """Report ``database, table, rows`` for every table of the catalog.
 
     All tables are counted by one job; a filter on ``database`` or ``table`` removes
-    the other tables from the plan before anything is read. Every table is looked up,
-    and its files listed, on the driver before a filter can act.
+    the other tables from the plan before anything is read. Tables are looked up, and
+    their files listed, on the driver before a filter can act; with ``databases`` or
+    ``tables`` only those by these names are, and of other databases not even the names.
     """
     shown = spark.sql("SHOW DATABASES").collect()
-    databases = sorted(_unquoted(row["namespace"]) for row in shown)
+    found = sorted(_unquoted(row["namespace"]) for row in shown)
     counts = [
         spark.table(_quoted(db, table))
         .agg(F.count("*").alias("rows"))
         .select(F.lit(db).alias("database"), F.lit(table).alias("table"), "rows")
-        for db in databases
-        for table in _table_names(spark, db)
+        for db in _chosen(found, databases)
+        for table in _chosen(_table_names(spark, db), tables)
     ]
     if not counts:
         return spark.createDataFrame([], REPORT_SCHEMA)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import rollbook as rb
 from rollbook.scratch import scratch_path
-from rollbook.sources.router import parse_descriptor, source_text
+from rollbook.sources import router, tables
+from rollbook.sources.router import named_source, parse_descriptor, source_text
 from rollbook.sources.tables import _unquoted
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -155,6 +156,51 @@ def test_source_text(spark, tmp_path):
     assert parse_descriptor(source_text(spark, str(descriptor))).dbName == "shop"
 
 
+@pytest.mark.parametrize("head", ["plain prose ", "{not json ", '{"a": 1}\n{"a": 2}\n', "[1, 2, ", '{"a": 01', '{"a" "b"'])
+def test_a_large_wrong_file_is_not_read_through(spark, tmp_path, monkeypatch, head):
+    wrong = tmp_path / "wrong.txt"
+    with open(wrong, "w") as file:
+        file.write(head)
+        for _ in range(2000):
+            file.write("some words of a text that goes on and on, line by line\n" * 400)
+    read = []
+    lines = router._lines
+    monkeypatch.setattr(
+        router, "_lines", lambda spark, path: (read.append(len(piece)) or piece for piece in lines(spark, path))
+    )
+    with pytest.raises(ValueError, match="neither"):
+        source_text(spark, str(wrong))
+    assert wrong.stat().st_size > 40_000_000 and sum(read) < 20_000
+    with pytest.raises(ValueError, match="neither"):
+        rb.copy_dataset(spark, str(wrong), str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 5000])
+def test_a_descriptor_in_any_pieces(size):
+    text = ' {"dbName": "a\\u00e9\\n\u4e2d", "port": -1.5e3, "more": [true, false, null, {"x": []}], "dbType": "Hive"} ' + " " * 40
+    pieces = [text[n : n + size] for n in range(0, len(text), size)]
+    assert named_source(iter(pieces), "here") == text
+    assert parse_descriptor(text).dbName == "a\u00e9\n\u4e2d"
+    for wrong in (text.strip() + "x" * 60, text.replace('"port":', '"port"') + " " * 60, text.strip()[:-1]):
+        with pytest.raises(ValueError, match="neither"):
+            named_source(iter(wrong[n : n + size] for n in range(0, len(wrong), size)), "here")
+    for path in ("/data/x", "", "s3://bucket/" + "k" * 1000, "/a" * 4000):
+        assert named_source(iter(path[n : n + size] for n in range(0, len(path), size)), "here") == path
+
+
+def test_a_narrowed_report_looks_up_nothing_else(spark, shop, monkeypatch):
+    looked_up = []
+    table, names = type(spark).table, tables._table_names
+    monkeypatch.setattr(type(spark), "table", lambda self, name: looked_up.append(name) or table(self, name))
+    monkeypatch.setattr(tables, "_table_names", lambda s, db: looked_up.append(db) or names(s, db))
+    report = rb.table_row_counts(spark, [shop], ["NATION"])
+    assert _rows(report) == [("shop", "nation", 25)] and looked_up == ["shop", "`shop`.`nation`"]
+    assert _rows(rb.table_row_counts(spark, databases=["shop"])) == SHOP_ROWS
+    only = [row for row in _rows(rb.table_row_counts(spark, tables=["region"])) if row[0] == "shop"]
+    assert only == [SHOP_ROWS[1]]
+    assert rb.table_row_counts(spark, ["nowhere"]).isEmpty()
+
+
 def test_csv_types(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,name,amount\n1,"x, y",1.5\n2,,2\n')
     df = rb.read_csv(spark, str(tmp_path / "a.csv"))
