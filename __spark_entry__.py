@@ -6,6 +6,7 @@ writers first write a table of that folder to a scratch path.
 
 from __future__ import annotations
 
+import importlib
 import json
 import os
 import sys
@@ -21,15 +22,18 @@ import rollbook as rb
 from rollbook import fixtures
 from rollbook.scratch import scratch_path
 
-# The operators of training-data pipelines and their queries may be absent.
-try:
-    from rollbook.llm import queries as llm_queries
-except ImportError:
-    llm_queries = None
-try:
-    import corpus_pipeline
-except ImportError:
-    corpus_pipeline = None
+def _if_present(name: str):
+    """A module of the training-data operators, which may be absent; their own needs may not."""
+    try:
+        return importlib.import_module(name)
+    except ImportError as missing:
+        if missing.name not in ("rollbook.llm", "corpus_pipeline"):
+            raise
+        return None
+
+
+llm_queries = _if_present("rollbook.llm.queries")
+corpus_pipeline = _if_present("corpus_pipeline")
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 TABLES = (
