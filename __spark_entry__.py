@@ -27,7 +27,7 @@ def _if_present(name: str):
     try:
         return importlib.import_module(name)
     except ImportError as missing:
-        if missing.name not in ("rollbook.llm", "corpus_pipeline"):
+        if missing.name not in ("rollbook.llm", "rollbook.llm.queries", "corpus_pipeline"):
             raise
         return None
 
