@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .repeats import told_apart
 from .store import rows_again, stored
 
 WEIGHTS = (3, 1, 2)
@@ -83,8 +84,14 @@ def _mixed(
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"),
         F.col(f"`{source}`").alias("_source"), size.cast("long").alias("_size"),
-        exponential_key(identity, weight, seed).alias("_key"), tie.alias("_tie"),
-    ).withColumn("_step", step)
+        weight.alias("_weight"), identity.cast("string").alias("_own"), tie.alias("_tie"),
+    )
+    # Rows without identity are told by their tie, and equal rows by a number.
+    rows = told_apart(rows, F.col("_source"), F.col("_own"), F.col("_tie"))
+    named = F.coalesce(F.col("_own"), F.concat(F.lit("null:"), F.coalesce(F.col("_tie").cast("string"), F.lit(""))))
+    named = F.when(F.col("_number") == 0, named).otherwise(F.concat(named, F.lit("#"), F.col("_number")))
+    rows = rows.withColumn("_key", exponential_key(named, F.col("_weight"), seed)).withColumn("_step", step)
+    rows = rows.select("_row", "_source", "_size", "_key", "_tie", "_step")
     steps = stored(
         rows.groupBy(F.col("_source").alias("source"), F.col("_step").alias("step")).agg(
             F.sum("_size").alias("step_size")
@@ -167,9 +174,10 @@ def mix(
     A source is never sorted whole: its keys are counted in 4096 steps, running sums over the
     steps find the one in which the target ends, and only that step's rows are sorted.
 
-    Null and empty texts have size 0; null is a source of its own; ``tie`` orders rows of the
-    same identity, and rows equal in both take each other's place. No rows give no rows. The
-    added columns replace those of the same name; others stay.
+    Null and empty texts have size 0; null is a source of its own. ``tie`` orders rows of the
+    same identity and stands for one that is null; where over a thousandth of all rows are equal
+    in both and in their source, each has a key of its own by a number. No rows give no rows. The added columns replace
+    those of the same name; others stay.
     """
     found = _mixed(
         docs, size, weight, identity, tie, source, weights, share, most, seed, broadcast_sources

@@ -138,7 +138,7 @@ def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     good = labels.filter("quality = 1").select("doc_id")
     ratios = resampling.log_ratios(docs, good)
-    sample = resampling.resample(docs, ratios)
+    sample = resampling.resample(docs, ratios, keep=resampling.target_share(labels, "quality"))
     return sample.select("doc_id", "log_weight", "key", F.lit(True).alias("kept"))
 
 
@@ -256,7 +256,7 @@ WITH docs AS (
   FROM documents
 ), keyed AS (
   SELECT r, doc_id, source, digest, CAST(len(w) AS BIGINT) AS size,
-    -ln((CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
+    -ln((CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || coalesce(digest, ''))), 1, 13) AS BIGINT)
          + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
       / (0.5::DOUBLE + CAST(len(list_distinct(w)) AS DOUBLE) / greatest(len(w), 1)) AS key
   FROM docs

@@ -12,11 +12,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .repeats import told_apart
 from .store import stored
 
 BUCKETS = 10_000
-#: Share of all documents that the sample has.
-KEEP = 0.85
 #: Target documents that the target model counts at most, chosen by hash of the id.
 TARGET_ROWS = 20_000
 #: Keys that the search for the last place of the sample may bring to the driver.
@@ -133,7 +132,7 @@ def resample(
     docs: DataFrame,
     ratios: np.ndarray,
     *,
-    keep: float = KEEP,
+    keep: float,
     seed: int = 0,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -142,23 +141,34 @@ def resample(
 
     A row's key is its log weight and Gumbel noise; the rows with the largest keys are a sample
     without replacement in proportion to the weights. ``keep`` of all rows, rounded up, are
-    kept; nothing is sorted as a whole. Of rows whose keys equal the last one kept those with
-    the smallest ids and digests stay. Null and empty texts weigh as much in either model; rows
-    without id share one noise. An empty table gives no rows.
+    kept; nothing is sorted as a whole. Null and empty texts weigh as much in either model. Rows
+    without id have noise by their text, and where over a thousandth of all rows are equal in
+    id and text, each has noise of its own by a number. Of rows whose keys equal the last one kept, which then are few,
+    those with the smallest ids and digests stay. An empty table gives no rows.
     """
-    rows = stored(
-        docs.select(
-            F.col(doc_id).alias("doc_id"), F.md5(F.col(text)).alias("_digest"),
-            log_weight(F.col(text), ratios).alias("log_weight"),
-        ).withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)),
-        "resample_keys",
+    digest = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    weighed = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), digest.alias("_digest"),
+        log_weight(F.col(f"`{text}`"), ratios).alias("log_weight"),
     )
+    weighed = told_apart(stored(weighed, "resample_weights"), F.col("doc_id"), F.col("_digest"))
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("_digest")))
+    named = F.when(F.col("_number") == 0, named).otherwise(F.concat(named, F.lit("#"), F.col("_number")))
+    key = F.col("log_weight") + gumbel(named, seed)
+    rows = stored(weighed.withColumn("key", key).drop("_number"), "resample_keys")
     k = math.ceil(keep * rows.count())
     if not k:
         return rows.limit(0)
     value, above = last_key(rows, k)
-    rank = F.expr("row_number() over (order by doc_id, _digest)")
+    rank = F.expr("row_number() over (partition by key order by doc_id, _digest)")
     ties = rows.filter(F.col("key") == value).withColumn("rank", rank)
     return rows.filter(F.col("key") > value).unionByName(
         ties.filter(F.col("rank") <= k - above).drop("rank")
     )
+
+
+def target_share(labels: DataFrame, label: str) -> float:
+    """Share of target rows (1) among labelled ones (0 or 1); all where none is labelled."""
+    known = labels.filter(F.col(f"`{label}`").isin(0, 1))
+    share = known.agg(F.avg(F.col(f"`{label}`").cast("double"))).first()[0]
+    return 1.0 if share is None else share

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .repeats import told_apart
 from .store import literal_rows, stored
 
 #: A key is two numbers of KEY_BITS bits; a round of probes looks at PROBE_BITS of them.
@@ -20,8 +21,10 @@ ROUNDS = 2 * KEY_BITS // PROBE_BITS
 #: a nearer splitter would cut a group of equal first keys.
 TOLERANCE = 0.001
 GROUP_TOLERANCE = 0.02
-#: Bytes of rows that one task of the final exchange should get.
+#: Bytes of rows that one group of the final exchange should get.
 RANGE_BYTES = 128 << 20
+#: Bits of the first and of the second number by which a shard's rows are dealt to groups.
+PART_BITS, LOT_BITS = 12, 4
 
 
 def hashed_key(value: Column) -> Column:
@@ -99,30 +102,50 @@ def _settle(splitter: _Splitter, probes: list, round_no: int) -> bool:
     return True
 
 
-def find_splitters(keys: DataFrame, shards: int, per_shard: int) -> list[_Splitter]:
-    """Splitters that cut ``keys`` (k1, k2, bytes) into ``shards`` times ``per_shard`` ranges.
+def find_splitters(keys: DataFrame, shards: int) -> list[_Splitter]:
+    """Splitters that cut ``keys`` (k1, k2, bytes) into ``shards`` ranges.
 
     Every round counts, over all rows, what lies between the probes around each splitter
     that has not found its place; its share of the key range shrinks 4096-fold. At most
-    4096 counts for each open splitter reach the driver.
+    4096 counts for each open splitter reach the driver, however many rows there are.
     """
     total = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    ranges = shards * per_shard
-    shard_bytes = total / shards
-    splitters = [
-        # Ranges inside a shard only share out the work, so they need not be as even.
-        _Splitter(total * n / ranges, shard_bytes * (TOLERANCE if n % per_shard == 0 else 0.1 / per_shard))
-        for n in range(1, ranges)
-    ]
-    open_ones, round_no = splitters if total else [], 0
+    tolerance = total / shards * TOLERANCE
+    splitters = [_Splitter(total * n / shards, tolerance) for n in range(1, shards)] if total else []
+    open_ones, round_no = splitters, 0
     while open_ones:
         counted = _histogram(keys, round_no, sorted({s.prefix for s in open_ones}))
         open_ones = [s for s in open_ones if not _settle(s, counted[s.prefix], round_no)]
         round_no += 1
     for before, after in zip(splitters, splitters[1:]):
-        if total and after.key < before.key:
+        if after.key < before.key:
             after.key, after.rows, after.bytes = before.key, before.rows, before.bytes
-    return splitters if total else []
+    return splitters
+
+
+def _shard_of(rows: DataFrame, splitters: list[_Splitter]) -> DataFrame:
+    """``rows`` with the number of splitters at or below ``_k1, _k2``."""
+    # Which splitters share the first bits of a key, and how many lie below all of those.
+    by_probe: dict[int, list] = {}
+    for s in splitters:
+        by_probe.setdefault(min(s.key[0] >> (KEY_BITS - PROBE_BITS), PROBES), []).append(s.key)
+    starts = sorted(s.key[0] >> (KEY_BITS - PROBE_BITS) for s in splitters)
+    places = literal_rows(
+        rows.sparkSession,
+        [
+            (probe, bisect_right(starts, probe - 1), [[k1, k2] for k1, k2 in by_probe.get(probe, [])])
+            for probe in range(PROBES)
+        ],
+        "_at long, _below int, _near array<array<bigint>>",
+    )
+    found = rows.join(
+        F.broadcast(places), F.shiftright("_k1", KEY_BITS - PROBE_BITS) == F.col("_at")
+    )
+    passed = F.filter(
+        "_near",
+        lambda s: (s[0] < F.col("_k1")) | ((s[0] == F.col("_k1")) & (s[1] <= F.col("_k2"))),
+    )
+    return found.withColumn("_shard", F.col("_below") + F.size(passed)).drop("_at", "_below", "_near")
 
 
 def shard(
@@ -137,59 +160,51 @@ def shard(
     """``df`` with ``shard`` and ``slot``: its rows in order of ``key``, cut into even bytes.
 
     ``key`` and ``tie`` are numbers from 0 to 2**60 - 1, such as :func:`hashed_key`; ``size``
-    is a row's bytes, not null and at least 1. Shards are ranges of (key, tie), and slots
-    number the rows of a shard from 0 without gaps. Rows of equal key stay together where the
-    sizes allow it (2 % of a shard); a key with more rows than that is cut by ``tie``. Rows
-    equal in both share a range whole; their slots are in any order.
-
-    The counts that place the splitters also tell how many rows lie below each, so slots need
-    no further pass, and a shard is dealt to many tasks of about ``range_bytes`` each. No rows
-    give no rows. Columns named ``shard`` or ``slot`` are replaced; all others stay.
+    is a row's bytes, not null and at least 1. Shards are ranges of (key, tie). Rows of equal
+    key stay together where the sizes allow it (2 % of a shard); a key with more rows than that
+    is cut by ``tie``, and rows equal in both, where they are over a thousandth of all, by a number
+    that each gets, so that the law holds however many there are.
+
+    Slots number the rows of a shard from 0 without gaps. A shard is dealt to groups by the
+    first bits of key and tie, of which all shards together have at most some 65,000; counts of
+    the groups, which every task gets, tell at which slot each begins. Within a group slots are
+    in order of key and tie. No rows give no rows. Columns named ``shard`` or ``slot`` are
+    replaced; all others stay.
     """
-    spark = df.sparkSession
     kept = [F.col(f"`{name}`") for name in df.columns if name not in ("shard", "slot")]
     keyed = df.select(
         F.struct(*kept).alias("_row"), key.cast("long").alias("_k1"),
-        tie.cast("long").alias("_k2"), size.cast("long").alias("_bytes"),
-    )
-    keys = stored(
-        keyed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_bytes").alias("bytes")),
-        "shard_keys",
+        tie.cast("long").alias("_tie"), size.cast("long").alias("_bytes"),
     )
-    total = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    tasks = max(math.ceil(total / range_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    per_shard = max(1, math.ceil(tasks / shards))
-    splitters = find_splitters(keys, shards, per_shard)
-
-    first = [0, *(s.rows for s in splitters)] if splitters else [0] * (shards * per_shard)
-    ranges = literal_rows(
-        spark,
-        [(n, n // per_shard, first[n] - first[n // per_shard * per_shard]) for n in range(shards * per_shard)],
-        "_range int, shard int, _before long",
-    )
-    # Which splitters share the first bits of a key, and how many lie below all of those.
-    by_probe: dict[int, list] = {}
-    for s in splitters:
-        by_probe.setdefault(min(s.key[0] >> (KEY_BITS - PROBE_BITS), PROBES), []).append(s.key)
-    starts = sorted(s.key[0] >> (KEY_BITS - PROBE_BITS) for s in splitters)
-    places = literal_rows(
-        spark,
-        [
-            (probe, bisect_right(starts, probe - 1), [[k1, k2] for k1, k2 in by_probe.get(probe, [])])
-            for probe in range(PROBES)
-        ],
-        "_at long, _below int, _near array<array<bigint>>",
+    keyed = told_apart(keyed, F.col("_k1"), F.col("_tie"))
+    k2 = F.when(F.col("_number") == 0, F.col("_tie")).otherwise(hashed_key(F.struct("_tie", "_number")))
+    keyed = keyed.select("_row", "_k1", k2.alias("_k2"), "_bytes")
+    keys = stored(keyed.select("_k1", "_k2", "_bytes"), "shard_keys")
+    splitters = find_splitters(keys.toDF("k1", "k2", "bytes"), shards)
+
+    total = keys.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]
+    part_bits = min(PART_BITS, max(0, math.ceil(math.log2(max(1, total / range_bytes / (1 << LOT_BITS))))))
+    part = F.shiftright("_k1", KEY_BITS - part_bits) if part_bits else F.lit(0).cast("long")
+    lot = F.shiftright("_k2", KEY_BITS - LOT_BITS)
+    group = {"_part": part, "_lot": lot}
+    counted = _shard_of(keys, splitters).withColumns(group).groupBy("_shard", "_part", "_lot").agg(
+        F.count("*").alias("_n")
     )
-    found = keyed.withColumn("_probe", F.shiftright("_k1", KEY_BITS - PROBE_BITS)).join(
-        F.broadcast(places), F.col("_probe") == F.col("_at")
+    before = F.expr(
+        "sum(_n) over (partition by _shard order by _part, _lot rows between unbounded preceding and 1 preceding)"
     )
-    passed = F.filter(
-        "_near",
-        lambda s: (s[0] < F.col("_k1")) | ((s[0] == F.col("_k1")) & (s[1] <= F.col("_k2"))),
+    # At most 2 ** (PART_BITS + LOT_BITS) groups, and some more where a splitter parts one.
+    groups = stored(
+        counted.select("_shard", "_part", "_lot", F.coalesce(before, F.lit(0)).alias("_before")).toDF(
+            "_in_shard", "_in_part", "_in_lot", "_before"
+        ),
+        "shard_groups",
     )
-    found = found.withColumn("_range", F.col("_below") + F.size(passed)).join(
-        F.broadcast(ranges), "_range"
+    found = _shard_of(keyed, splitters).withColumns(group).join(
+        F.broadcast(groups),
+        (F.col("_shard") == F.col("_in_shard")) & (F.col("_part") == F.col("_in_part"))
+        & (F.col("_lot") == F.col("_in_lot")),
     )
-    rank = F.expr("row_number() over (partition by _range order by _k1, _k2)")
+    rank = F.expr("row_number() over (partition by _shard, _part, _lot order by _k1, _k2)")
     slot = F.col("_before") + rank - 1
-    return found.select("_row.*", "shard", slot.cast("long").alias("slot"))
+    return found.select("_row.*", F.col("_shard").alias("shard"), slot.cast("long").alias("slot"))

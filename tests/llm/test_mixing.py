@@ -90,3 +90,21 @@ def test_odd_rows(spark):
     assert repeat_mixed(docs.limit(0), **_mix(docs)).isEmpty()
     empty = docs.filter("text is null or text = ''")
     assert {r.taken for r in mix(empty, **_mix(docs)).collect()} == {0}
+
+
+def test_a_third_of_the_rows_without_id(spark):
+    """They share neither a key nor a step, and reruns take the same number of each."""
+    rows = [(n if n % 3 else None, f"some {n} text" if n % 6 else "one text", "a" if n % 4 else "b") for n in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mix(docs, **_mix(docs, weights=(3, 1), share=0.5)).collect()
+    taken = {}
+    for r in got:
+        key = (r.doc_id is None, r.text == "one text")
+        taken.setdefault(key, []).append(r.copies)
+    for source in "ab":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1.5 + 1e-6
+    # Every kind of row is drawn in proportion, so none goes or stays as a block.
+    assert len(taken) == 3 and all(0.2 < sum(n) / len(n) < 0.8 for n in taken.values())
+    again = mix(docs.repartition(2), **_mix(docs, weights=(3, 1), share=0.5)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))

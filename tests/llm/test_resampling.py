@@ -56,8 +56,9 @@ def test_held_out_quality(spark):
     sf_dir = "/root/testdata/sf0.1"
     kept = op9_quality_resampling(spark, sf_dir)
     total = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
-    assert kept.count() == math.ceil(0.85 * total)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    good = labels.filter("quality = 1").count() / labels.filter("quality in (0, 1)").count()
+    assert kept.count() == math.ceil(good * total)
     share = {r.quality: r.n for r in labels.join(kept, "doc_id", "left").groupBy("quality").agg(
         F.avg(F.coalesce(F.col("kept").cast("int"), F.lit(0))).alias("n")).collect()}
     assert share[1] > 0.9 and share[0] < 0.6
@@ -69,7 +70,23 @@ def test_odd_rows(spark):
     assert resample(docs, ratios, keep=1.0).count() == docs.count()
     for keep in (0.1, 0.5, 0.9):
         assert resample(docs, ratios, keep=keep).count() == math.ceil(keep * docs.count())
-    assert resample(docs.limit(0), ratios).isEmpty()
+    assert resample(docs.limit(0), ratios, keep=0.5).isEmpty()
     assert np.allclose(log_ratios(docs.limit(0), docs.select("doc_id"), buckets=8), 0)
     same = docs.filter("doc_id = 1").withColumn("n2", F.explode(F.sequence(F.lit(1), F.lit(9))))
     assert resample(same, ratios, keep=0.5).count() == 5
+    assert resampling.target_share(spark.createDataFrame([(1,), (0,), (None,), (1,), (7,)], "good int"), "good") == 2 / 3
+    assert resampling.target_share(spark.createDataFrame([], "good int"), "good") == 1.0
+
+
+@pytest.mark.parametrize("doc", [None, 7])
+def test_a_third_of_the_rows_equal(spark, doc):
+    """Each has noise of its own, so that none of them is a tie."""
+    rows = [(n if n % 3 else doc, "one text" if n % 3 == 0 else f"text {n}") for n in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ratios = np.zeros(16)
+    kept = resample(docs, ratios, keep=0.5)
+    assert kept.count() == 450 and kept.select("key").distinct().count() == 450
+    equal = kept.filter(F.col("_digest") == F.md5(F.lit("one text"))).count()
+    assert 100 < equal < 200
+    again = resample(docs.repartition(2), ratios, keep=0.5)
+    assert sorted(r.key for r in kept.collect()) == sorted(r.key for r in again.collect())

@@ -67,3 +67,24 @@ def test_odd_rows(spark):
     assert _shard(docs.limit(1)).count() == 1
     same = docs.filter("doc_id = 1").withColumn("n2", F.explode(F.sequence(F.lit(1), F.lit(50))))
     _holds(_shard(same).collect(), 16)
+
+
+@pytest.mark.parametrize("doc", [None, 7])
+def test_a_third_of_the_rows_equal(spark, doc):
+    rows = [(n if n % 3 else doc, "the same text " * 5 if n % 3 == 0 else f"{n} " * 9) for n in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = _shard(docs, range_bytes=4096).collect()
+    _holds(got, 16)
+    sizes = [0] * 16
+    for r in got:
+        sizes[r.shard] += len(r.text) + 1
+    assert len(got) == 3000 and max(sizes) - min(sizes) < 0.05 * sum(sizes) / 16
+
+
+def test_splitters_grow_with_shards_alone(spark):
+    keys = spark.range(20_000).select(
+        hashed_key(F.col("id")).alias("k1"), hashed_key(F.col("id") + 1).alias("k2"), F.lit(1 << 40).alias("bytes")
+    )
+    found = sharding.find_splitters(keys, 16)
+    assert len(found) == 15
+    assert all(abs(s.bytes - s.target) <= max(s.tolerance, 1 << 40) for s in found)
