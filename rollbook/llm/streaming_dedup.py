@@ -100,12 +100,14 @@ def decide(
     normalise: Callable[[Column], Column] = same_text,
     digest: Callable[[Column], Column] = sha256,
 ) -> DataFrame:
-    """One row for each row of ``path``, held against the state it was absorbed into.
+    """One row for each row of ``path``, held against the state, which absorbs new files first.
 
     Returns ``doc_id, keep_id, group_size, kept, text_sha256`` and the row's ``place``. Every
     row whose digest others share is compared with the kept text byte by byte. Rows that only
     share the digest are grouped anew by their whole text.
     """
+    # Files that the state has seen are not read again.
+    absorb(spark, path, checkpoint, doc_id=doc_id, text=text, normalise=normalise, digest=digest)
     docs = spark.read.parquet(path)
     how = (doc_id, text, normalise, digest)
     state = stored(state_of(spark, checkpoint), "dedup_state")
@@ -189,5 +191,4 @@ def deduplicate(spark: SparkSession, path: str, checkpoint: str | None = None, *
     not read. Without ``checkpoint`` the state is scratch.
     """
     checkpoint = checkpoint or scratch_path(spark, "dedup_stream")
-    absorb(spark, path, checkpoint, **how)
     return decide(spark, path, checkpoint, **how)

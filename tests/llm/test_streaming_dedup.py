@@ -61,3 +61,12 @@ def test_odd_rows(spark):
     assert sorted(map(tuple, got.select(COLUMNS).collect()), key=repr) == _plain(rows)
     assert not set(CLASHING) & (set(got.columns) - {"place"})
     assert deduplicate(spark, _write(docs.limit(0), "dedup_e")).isEmpty()
+
+
+def test_decisions_absorb_new_files_first(spark):
+    checkpoint = scratch_path(spark, "dedup_state_new")
+    path = _write(spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string"), "dedup_f")
+    decide(spark, path, checkpoint).count()
+    spark.createDataFrame([(3, "c"), (4, "a")], "doc_id long, text string").write.mode("append").parquet(path)
+    got = decide(spark, path, checkpoint).select(COLUMNS)
+    assert sorted(map(tuple, got.collect()), key=repr) == _plain([(1, "a"), (2, "b"), (3, "c"), (4, "a")])
