@@ -4,10 +4,10 @@ import math
 
 import duckdb
 import pytest
-from helpers import tuples
+from helpers import odd_docs, spaced, tuples
 from pyspark.sql import functions as F
 from test_decontamination import _plain as plain_hits
-from test_jaccard_join import _plain as plain_components
+from test_near_copies import _components
 from test_mixing import _plain_targets
 
 import corpus_pipeline
@@ -23,8 +23,9 @@ def test_stages_against_brute_force(spark):
     columns = docs.columns
     score = toxicity.fit(docs, labels).scorer()
     rows = [r for r in docs.collect() if score(r.text) < 0.7]
-    component = {d: c for d, _, c in plain_components([(r.doc_id, r.text) for r in rows])}
-    rows = [r for r in rows if component[r.doc_id] == r.doc_id]
+    worded = [(r.doc_id, r.text) for r in rows if r.text and r.text.split()]
+    component = dict(_components(worded, corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT))
+    rows = [r for r in rows if component.get(r.doc_id, r.doc_id) == r.doc_id]
     hit = {d for d, _, n, _ in plain_hits([(r.doc_id, r.text) for r in rows], items) if n}
     rows = [r for r in rows if r.doc_id not in hit]
     got = corpus_pipeline.run(spark, SF_DIR)
@@ -49,6 +50,32 @@ def test_stages_against_brute_force(spark):
     assert tuples(got) == tuples(corpus_pipeline.run(spark, SF_DIR))
 
 
+def test_single_stages_against_brute_force(spark):
+    """Each on its own input, with all its columns, clean documents and odd rows kept."""
+    docs = odd_docs(spark)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    score = toxicity.fit(docs, labels).scorer()
+    kept = corpus_pipeline.remove_toxic(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert tuples(kept) == sorted((tuple(r) for r in docs.collect() if score(r.text) < 0.7), key=repr)
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    leak = docs.filter("doc_id = 1").withColumn("text", F.concat(F.lit("Before it. "), F.lit(item), F.lit(" After.")))
+    clean = corpus_pipeline.remove_contaminated(spark, docs.unionByName(leak), SF_DIR)
+    assert tuples(clean) == tuples(docs)
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF_DIR)
+    assert mixed.columns == docs.columns
+    given = tuples(docs)
+    assert all(row in given for row in tuples(mixed))
+    sizes, taken = {}, {}
+    for r in docs.collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(spaced(r.text))
+    for r in mixed.collect():
+        taken[r.source] = taken.get(r.source, 0) + len(spaced(r.text))
+    for source, target in _plain_targets(sizes).items():
+        largest = max(len(spaced(r.text)) for r in docs.collect() if r.source == source)
+        assert abs(taken.get(source, 0) - target) <= largest / 2 + 1
+
+
 def test_stages_take_any_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -3,7 +3,8 @@ from __future__ import annotations
 import random
 import re
 
-from helpers import tuples
+from helpers import CLASHING, tuples
+from pyspark.sql import functions as F
 
 from rollbook.llm.queries import URL_RULES
 from rollbook.llm.url_filters import UrlRule, filter_urls, path_rule
@@ -39,3 +40,12 @@ def test_patterns_without_tokens_and_defaults(spark):
     assert got == {"http://a.com/x.exe": ("executables", "block"), "http://b.com/": ("any b", "allow")}
     assert [r.verdict for r in filter_urls(pages, [], default="block").collect()] == ["block"] * 2
     assert filter_urls(pages.limit(0), rules).isEmpty()
+
+
+def test_columns_that_bear_inner_names(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (1, "http://a.com/x"), (None, None)], "page_id long, url string")
+    rules = [path_rule(*rule) for rule in URL_RULES]
+    names = [*CLASHING, "host", "path", "rule", "verdict", "token", "pattern", "best", "_url", "_part"]
+    odd = pages.withColumns({name: F.lit("own") for name in names})
+    assert tuples(filter_urls(odd, rules)) == tuples(filter_urls(pages, rules))
+    assert filter_urls(odd, rules).count() == 3
