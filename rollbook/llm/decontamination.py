@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import own, row_key, rows_again, wrapped
+from .membership import bitmap, parted, possibly
+from .store import Tables, own, row_key, rows_again, wrapped
 from .words import ALNUM_BREAK, ALNUM_WORD, alnum_words
 
 NGRAM = 10
-#: Grams of more bytes than this are joined by shuffle instead of being broadcast.
-BROADCAST_BYTES = 32 << 20
+#: Lots that the windows of one gram are dealt to, as a passage may stand in very many documents.
+LOTS = 16
 
 
 def _grams(benchmark: DataFrame, ngram: int, item_id: str, item_text: str) -> DataFrame:
@@ -63,19 +64,21 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, add, lambda done: done["hit"])
 
 
-def _hits(docs, benchmark, ngram, doc_id, text, item_id, item_text, broadcast_bytes) -> DataFrame:
-    """One row for each id and text: words, ranges hit, items found, and number of such rows."""
-    grams = _grams(benchmark, ngram, item_id, item_text)
-    extent = grams.agg(
-        F.coalesce(F.sum(F.length(F.concat_ws(" ", "gram")) + 16 * (F.size("gram") + 4)), F.lit(0)),
-        F.sort_array(F.collect_set("gram_len")),
-        F.coalesce(F.sum(F.length(F.concat_ws(" ", "gram_items")) + 24), F.lit(0)),
-    ).first()
-    lengths = extent[1] or [ngram]
-    if extent[0] + extent[2] <= broadcast_bytes:
-        grams = F.broadcast(grams)
+def _hits(docs, benchmark, ngram, doc_id, text, item_id, item_text, tables) -> DataFrame:
+    """One row for each id and text: words, ranges hit, items found, and number of such rows.
 
-    tokens = docs.select(*row_key(doc_id, text), alnum_words(F.col(text)).alias("words"))
+    A bitmap of the grams' hashes goes to all tasks and drops nearly all windows where they
+    are made. What it lets through crosses as its place and its own words, to be compared
+    with the grams; a document's words never leave their task.
+    """
+    grams = tables.stored(_grams(benchmark, ngram, item_id, item_text), "grams")
+    lengths = grams.agg(F.sort_array(F.collect_set("gram_len"))).first()[0] or [ngram]
+    wanted = bitmap(grams.select("gram_hash"), tables, "gram_bitmap")
+    grams = tables.stored(
+        grams.withColumn("gram_lot", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1)))), "gram_lots"
+    )
+
+    tokens = docs.select(*row_key(doc_id, text), alnum_words(F.col(f"`{text}`")).alias("words"))
     # Row 0 of each document stands for the document itself.
     windows = tokens.select(
         "_id", "_digest", "words",
@@ -85,21 +88,27 @@ def _hits(docs, benchmark, ngram, doc_id, text, item_id, item_text, broadcast_by
         windows = windows.withColumn("len", F.lit(lengths[0]))
     else:
         windows = windows.withColumn("len", F.explode(F.array(*map(F.lit, lengths))))
-    window = F.slice("words", F.greatest("at", F.lit(1)), F.col("len"))
+    itself = (F.col("at") == 0) & (F.col("len") == lengths[0])
     whole = (F.col("at") > 0) & (F.col("at") + F.col("len") <= F.size("words") + 1)
-    windows = windows.withColumn("hash", F.when(whole, F.xxhash64(window)))
-    found = windows.join(
+    window = F.slice("words", F.greatest("at", F.lit(1)), F.col("len"))
+    hashed = F.when(whole, F.xxhash64(window)).when(itself, F.xxhash64("_id", "_digest"))
+    marked = possibly(windows.withColumn("hash", hashed).filter("hash is not null"), F.col("hash"), wanted)
+    # Documents themselves meet no gram, as none is of length 0.
+    left = marked.filter(itself | F.col("_maybe")).select(
+        "_id", "_digest", F.size("words").cast("long").alias("n_words"), "at", "hash",
+        F.when(itself, 0).otherwise(F.col("len")).alias("len"),
+        F.when(~itself, window).alias("window"),
+        F.pmod(F.xxhash64("_digest", "at"), F.lit(LOTS)).cast("int").alias("lot"),
+    )
+    found = left.join(
         grams,
-        (F.col("hash") == F.col("gram_hash"))
-        & (F.col("len") == F.col("gram_len"))
-        & (window == F.col("gram")),
+        (F.col("hash") == F.col("gram_hash")) & (F.col("len") == F.col("gram_len"))
+        & (F.col("lot") == F.col("gram_lot")) & (F.col("window") == F.col("gram")),
         "left",
-    ).filter(
-        F.col("gram_items").isNotNull() | ((F.col("at") == 0) & (F.col("len") == lengths[0]))
-    )
+    ).filter(F.col("gram_items").isNotNull() | (F.col("len") == 0))
     span = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("len")).alias("stop"))
     rows = found.select(
-        "_id", "_digest", F.size("words").cast("long").alias("n_words"), "gram_items",
+        "_id", "_digest", "n_words", "gram_items",
         F.when(F.col("gram_items").isNotNull(), span).alias("span"),
     )
     items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("gram_items"))))
@@ -120,7 +129,6 @@ def contamination(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """What every document shares with the benchmark.
 
@@ -129,13 +137,14 @@ def contamination(
     agree too. Returns ``doc_id, n_words, n_hit`` (words inside any gram), ``n_items, items``
     (sorted as strings), ``spans`` (ranges of hit words from 1, end exclusive), ``contaminated``.
 
-    The grams are broadcast when they are measured at ``broadcast_bytes`` or less, and
-    otherwise joined by shuffle. Null and empty texts have no words; null item ids mark words
+    Null and empty texts have no words; null item ids mark words
     as hit and name no item; no benchmark means no hits; of documents with the same id and
     text each row is returned. Other columns are ignored, whatever their names.
     """
-    hits = _hits(docs, benchmark, ngram, doc_id, text, item_id, item_text, broadcast_bytes)
-    hits = hits.withColumn("n_hit", _covered(F.col("spans")))
+    with Tables() as tables:
+        hits = _hits(docs, benchmark, ngram, doc_id, text, item_id, item_text, tables)
+        hits = tables.stored(hits.withColumn("n_hit", _covered(F.col("spans"))), "gram_hits")
+        tables.keep(hits)
     return rows_again(hits, "copies").select(
         F.col("_id").alias("doc_id"), "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"), "items",
@@ -154,7 +163,6 @@ def decontaminate(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``docs`` without contaminated documents, or (``remove="spans"``) without the hit words.
 
@@ -163,15 +171,30 @@ def decontaminate(
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    hits = _hits(docs, benchmark, ngram, doc_id, text, item_id, item_text, broadcast_bytes)
-    hits = hits.filter(F.size("spans") > 0).select(
-        F.col("_id").alias("_hit_id"), F.col("_digest").alias("_hit_digest"),
-        _merged(F.col("spans")).alias("_hit_spans"),
-    )
-    same = own(doc_id).eqNullSafe(F.col("_hit_id")) & (F.md5(own(text)) == F.col("_hit_digest"))
+    with Tables() as tables:
+        hits = _hits(docs, benchmark, ngram, doc_id, text, item_id, item_text, tables)
+        hits = tables.stored(
+            hits.filter(F.size("spans") > 0).select(
+                F.col("_id").alias("_hit_id"), F.col("_digest").alias("_hit_digest"),
+                _merged(F.col("spans")).alias("_hit_spans"),
+            ),
+            "gram_hits",
+        )
+        hashed = hits.select(F.xxhash64("_hit_id", "_hit_digest").alias("k"))
+        words = bitmap(hashed, tables, "gram_hit_bitmap")
+        tables.keep(hits, words)
+    # Only what may be hit has to meet the hits.
+    rows = wrapped(docs).withColumns({"_id": own(doc_id), "_digest": F.md5(own(text))})
+    maybe, others = parted(rows, F.xxhash64("_id", "_digest"), words)
+    same = F.col("_id").eqNullSafe(F.col("_hit_id")) & (F.col("_digest") == F.col("_hit_digest"))
     if remove == "documents":
-        return wrapped(docs).join(hits, same, "left_anti").select("_row.*")
-    joined = wrapped(docs).join(hits, same, "left")
+        stay = maybe.join(hits, same, "left_anti").select("_row")
+        return others.select("_row").unionByName(stay).select("_row.*")
+    none = F.lit(None)
+    kinds = {name: hits.schema[name].dataType for name in ("_hit_digest", "_hit_spans")}
+    joined = maybe.join(hits, same, "left").select("_row", *kinds).unionByName(
+        others.select("_row", *[none.cast(kind).alias(name) for name, kind in kinds.items()])
+    )
     # Cut at the same places as the lower-cased text: only A-Z changed there.
     pieces = F.regexp_extract_all(own(text), F.lit(_PIECE), F.lit(0))
     kept = F.filter(

@@ -6,6 +6,7 @@ import pytest
 from helpers import CLASHING, alnum, odd_docs, tuples
 
 from rollbook.llm.decontamination import contamination, decontaminate
+from rollbook.llm.store import Tables, rows_again
 
 
 def _plain(docs, items, ngram=10):
@@ -42,14 +43,64 @@ def _case(seed):
     return docs + [docs[0], (3, "another text of id 3"), (None, docs[6][1])], items
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 32 << 20])
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, seed, broadcast_bytes):
+def test_against_brute_force(spark, seed, threshold, monkeypatch):
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    try:
+        _against_brute_force(spark, seed)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_windows_cross_with_their_own_words_only(spark, tmp_path):
+    """With both broadcast thresholds at -1, what is shuffled is in proportion to the words hit."""
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    passage = [f"p{n}" for n in range(30)]
+    docs = [(n, " ".join([f"w{n}x{m}" for m in range(400)] + passage)) for n in range(20)]
+    items = spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    plans, written = [], []
+    stored = Tables.stored
+
+    def seen(self, df, label):
+        plans.append(_plan(df))
+        found = stored(self, df, label)
+        written.append((label, found.count()))
+        return found
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    Tables.stored = seen
+    try:
+        found = contamination(spark.read.parquet(str(tmp_path / "docs")), items).collect()
+    finally:
+        Tables.stored = stored
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert all(r.n_hit == 30 and r.n_words == 430 for r in found)
+    plan = next(p for p in plans if "gram_items" in p and "SortMergeJoin" in p)
+    physical = plan[plan.index("== Physical Plan =="):]
+    above = physical[physical.index("SortMergeJoin"):]
+    side = above.split("Exchange hashpartitioning(hash")[1]
+    crossing = side.split("+- ")[1]
+    assert crossing.strip("* (0123456789)").startswith("Project") and "window" in crossing
+    columns = crossing[crossing.index("[") :].split("]\n")[0]
+    assert " words#" not in columns.replace("size(words", "").replace("slice(words", "")
+
+
+def _against_brute_force(spark, seed):
     docs, items = _case(seed)
     found = contamination(
         spark.createDataFrame(docs, "doc_id long, text string").repartition(5),
         spark.createDataFrame(items, "item_id long, text string"),
-        broadcast_bytes=broadcast_bytes,
     )
     got = [(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found.collect()]
     assert sorted(got, key=repr) == _plain(docs, items)
@@ -88,3 +139,12 @@ def test_spans_keep_the_tail(spark):
     docs = spark.createDataFrame([(1, "One, two THREE four!?\n"), (2, "two three")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "two three")], "item_id long, text string")
     assert tuples(decontaminate(docs, items, remove="spans")) == [(1, "One four!?\n"), (2, "")]
+
+
+def test_very_many_copies_of_a_row(spark):
+    rows = spark.createDataFrame([(1, 200_000), (2, 0), (3, 1), (4, 65_536), (5, 65_537)], "id long, copies long")
+    found = {r.id: r["count"] for r in rows_again(rows, "copies").groupBy("id").count().collect()}
+    assert found == {1: 200_000, 3: 1, 4: 65_536, 5: 65_537}
+    # An array of all copies would hold more than Spark lets an array have.
+    huge = spark.createDataFrame([(1, 1 << 33)], "id long, copies long")
+    assert rows_again(huge, "copies").limit(5).count() == 5
