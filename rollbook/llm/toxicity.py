@@ -1,31 +1,51 @@
-"""Toxicity by compression distance: which of two zstandard dictionaries fits a window better."""
+"""Toxicity by compression distance: which of two zstandard dictionaries fits a window better.
+
+The ordinary dictionary is trained on the windows of ordinary texts. The toxic one has, before the
+same content, windows of toxic texts that the ordinary one serves badly and that recur. They are
+found by compression: windows of one word of either half of the toxic texts are compressed with a
+dictionary of the other half's most frequent ones, and those that save more than nearly all windows
+of ordinary texts do stay; dictionaries are made of those and the windows compressed again. What
+ordinary texts hold nearly as often goes to both dictionaries, so that it tells nothing.
+"""
 
 from __future__ import annotations
 
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .jaccard_join import shingles
+from .jaccard_join import linked, shingles
 
-#: Labelled rows of each class that a model is fitted on at most, chosen by hash of the id.
-FIT_ROWS = 2500
+#: Labelled rows of each class that a model is fitted on at most, chosen by hash, and their bytes.
+FIT_ROWS, FIT_BYTES = 2500, 16 << 20
+#: Near copies share this percentage or more of their shingles of so many words; one is fitted on.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 WINDOW = 8
 THRESHOLD = 0.7
 LEVEL = 9
-BASE_BYTES = 32 << 10
-CLASS_BYTES = 4096
-#: Words that stand for a class in which no word stands out.
-FEW = 20
-#: zstandard finds no match in the last bytes of its input, so each window ends in these.
-TAIL = b"\n" * 16
+#: Bytes of the content trained on ordinary windows, of that of toxic ones, of that of shared
+#: ones, and of the content that one half of the toxic texts makes for the other.
+BASE_BYTES, CLASS_BYTES, SHARED_BYTES, HALF_BYTES = 32 << 10, 8 << 10, 16 << 10, 32 << 10
+ROUNDS = 2
+#: Share of ordinary windows that save less than a toxic window has to.
+CHANCE = 0.98
+#: Ordinary windows that this share is taken of, chosen by chance.
+ORDINARY_WINDOWS = 48_000
+#: A window tells of toxic texts when their share with it is this many times the ordinary ones'.
+TELLING = 32
+#: Share of the toxic texts that such a window has to be in.
+RECURRING = 0.01
+#: zstandard finds no match in the last bytes of its input, and leaves short input as it is, so
+#: each window ends in these, which cost all windows the same.
+TAIL = b"\n" * 64
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -33,8 +53,11 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _windows(words: list[bytes]) -> list[bytes]:
-    cut = range(0, max(1, len(words)), WINDOW)
-    return [b" " + b" ".join(words[i : i + WINDOW]) + b" " + TAIL for i in cut]
+    return [piece + TAIL for piece in _pieces(words, WINDOW)]
+
+
+def _pieces(words: list[bytes], size: int) -> list[bytes]:
+    return [b" " + b" ".join(words[i : i + size]) + b" " for i in range(0, max(1, len(words)), size)]
 
 
 def _compressor(content: bytes):
@@ -87,37 +110,57 @@ def _features(gains: np.ndarray) -> np.ndarray:
     return np.array([gains.mean(), min(gains.max(), 12), (gains >= 3).mean()])
 
 
-def _documents_with(docs: list[list[bytes]]) -> Counter:
-    return Counter(word for doc in docs for word in set(doc))
-
-
-def _telling(own: Counter, other: Counter, n_own: int, n_other: int) -> set[bytes]:
-    """Words that one class's documents hold more often than chance would have them.
-
-    By a bound on the binomial tail, fewer than one word of the class's vocabulary is expected
-    to be let in by chance. Without any such word, the few that come nearest.
-    """
-    share = n_own / (n_own + n_other)
-    bits = {}
-    for word, count in own.items():
-        total = count + other[word]
-        found = count / total
-        if found > share and len(word) > 2:
-            bits[word] = total * (
-                found * math.log2(found / share)
-                + (0 if found == 1 else (1 - found) * math.log2((1 - found) / (1 - share)))
-            )
-    least = math.log2(max(2, len(own)))
-    return {w for w, b in bits.items() if b >= least} or set(sorted(bits, key=lambda w: (-bits[w], w))[:FEW])
-
-
-def _class_dictionary(docs: list[list[bytes]], telling: set[bytes]) -> bytes:
-    """A dictionary of the telling words of a class, document by document."""
-    samples = []
-    for doc in docs:
-        if kept := [word for word in doc if word in telling]:
-            samples.append(b" " + b" ".join(kept) + b" ")
-    return _dictionary(CLASS_BYTES, samples, k=32, d=6)
+def _most_frequent(pieces: Counter, size: int) -> bytes:
+    """The pieces that come most often, the most frequent last, in ``size`` bytes."""
+    content = b""
+    for piece, _ in sorted(pieces.items(), key=lambda item: (-item[1], item[0])):
+        if len(content) + len(piece) > size:
+            break
+        content = piece + content
+    return content
+
+
+def _costs(content: bytes, pieces: list[bytes]) -> np.ndarray:
+    compressor = _compressor(content)
+    return np.array([len(compressor.compress(piece + TAIL)) for piece in pieces], np.int64)
+
+
+def _words_of(docs: list[list[bytes]]) -> Counter:
+    """How often each window of one word comes."""
+    return Counter(piece for doc in docs for piece in (b" " + word + b" " for word in doc))
+
+
+def _telling(toxic: list[list[bytes]], ordinary: list[list[bytes]], base: bytes) -> Counter:
+    """In how many toxic texts each window stands that a dictionary of other toxic texts serves better."""
+    halves = toxic[::2], toxic[1::2]
+    counts = [_words_of(half) for half in halves]
+    names = [sorted(count) for count in counts]
+    null = _words_of(ordinary)
+    others = sorted(null)
+    if null.total() > ORDINARY_WINDOWS:
+        share = np.array([null[piece] for piece in others]) / null.total()
+        others = [others[n] for n in np.random.default_rng(1).choice(len(others), ORDINARY_WINDOWS, p=share)]
+    else:
+        others = sorted(null.elements())
+    null_before = _costs(base, others)
+    before = [_costs(base, own) for own in names]
+    kept = [set(own) for own in names]
+    for _ in range(ROUNDS):
+        chosen = []
+        for part in (0, 1):
+            rest = Counter({piece: counts[1 - part][piece] for piece in kept[1 - part]})
+            content = _most_frequent(rest, HALF_BYTES) + base
+            saved = before[part] - _costs(content, names[part])
+            by_chance = null_before - _costs(content, others)
+            least = max(1.0, np.quantile(by_chance, CHANCE) if len(others) else 1.0)
+            chosen.append({names[part][n] for n in np.flatnonzero(saved >= least)})
+        if chosen == kept:
+            break
+        kept = chosen
+    return Counter(
+        piece for part in (0, 1) for doc in halves[part]
+        for piece in {b" " + word + b" " for word in doc} & kept[part]
+    )
 
 
 def _logistic(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -137,45 +180,56 @@ def _logistic(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
 def _contents(docs: list[list[bytes]], labels: np.ndarray) -> tuple[bytes, bytes]:
     """Dictionary contents for ordinary and toxic text.
 
-    Each begins with the text of its class that the other one lacks. Both go on with the same
-    dictionary of ordinary windows, so that windows without such text cost the same.
+    Both end with what is trained on ordinary windows and with what either class holds, so that
+    only what tells of toxic text costs them differently.
     """
     toxic = [doc for doc, label in zip(docs, labels) if label]
     ordinary = [doc for doc, label in zip(docs, labels) if not label]
-    in_toxic, in_ordinary = _documents_with(toxic), _documents_with(ordinary)
-    sizes = len(toxic), len(ordinary)
-    windows = [w.removesuffix(TAIL) for doc in ordinary for w in _windows(doc)]
-    base = _dictionary(BASE_BYTES, windows)
-    own = _class_dictionary(ordinary, _telling(in_ordinary, in_toxic, *sizes[::-1]))
-    foreign = _class_dictionary(toxic, _telling(in_toxic, in_ordinary, *sizes))
-    return own + base, foreign + base
-
-
-def _unlike(texts: list[str | None]) -> list[int]:
-    """Numbers of the texts that share none of four minimum hashes with one before them."""
-    seen: set[tuple[int, int]] = set()
-    chosen = []
+    base = _dictionary(BASE_BYTES, [piece for doc in ordinary for piece in _pieces(doc, WINDOW)])
+    found = _telling(toxic, ordinary, base)
+    also = Counter(piece for doc in ordinary for piece in {b" " + word + b" " for word in doc} & found.keys())
+    shared = Counter({
+        piece: also[piece] for piece, n in found.items()
+        if n * len(ordinary) < TELLING * also[piece] * len(toxic)
+    })
+    own = Counter({piece: n for piece, n in found.items() if piece not in shared and n >= max(2, RECURRING * len(toxic))})
+    base = _most_frequent(shared, SHARED_BYTES) + base
+    return base, _most_frequent(own, CLASS_BYTES) + base
+
+
+def _once(texts: list[str | None]) -> list[int]:
+    """Numbers of the texts that are no near copy of one before them.
+
+    Candidates share one of eight minimum hashes; whether they are near copies is then compared
+    by all their shingles. Texts without words are all kept.
+    """
+    holders: dict[tuple[int, int], list[int]] = {}
+    sets, chosen = [], []
     for n, text in enumerate(texts):
-        found = shingles(text)
-        keys = {
+        found = shingles(text, NEAR_WORDS)
+        sets.append(found)
+        keys = [
             (turn, int((found * np.uint64(2 * turn + 0x9E3779B97F4A7C15)).min()))
-            for turn in range(4 if len(found) else 0)
-        }
-        if seen.isdisjoint(keys):
+            for turn in range(8 if len(found) else 0)
+        ]
+        near = {other for key in keys for other in holders.get(key, ())}
+        if not any(linked(found, sets[other], NEAR_PERCENT) for other in near):
             chosen.append(n)
-        seen |= keys
+            for key in keys:
+                holders.setdefault(key, []).append(n)
     return chosen
 
 
 def fit_texts(texts: list[str | None], labels: list[int]) -> ToxicityModel:
     """A model from labelled texts.
 
-    Of near copies only the first counts, as a group of them would make any of its words
-    telling. The thresholds are calibrated on each half of the texts with dictionaries trained on the
+    Of near copies only the first counts, as a group of them would make any of its words recur.
+    The thresholds are calibrated on each half of the texts with dictionaries trained on the
     other half; the model's own dictionaries are trained on all.
     """
-    chosen = _unlike(texts)
-    docs = [_words(texts[n]) for n in chosen]
+    chosen = _once(texts)
+    same: dict[bytes, bytes] = {}  # each word is held once
+    docs = [[same.setdefault(word, word) for word in _words(texts[n])] for n in chosen]
     y = np.array([labels[n] for n in chosen], dtype=int)
     half = np.zeros(len(y), dtype=int)
     for label in (0, 1):
@@ -210,30 +264,64 @@ def fit(
     labels: DataFrame,
     *,
     fit_rows: int = FIT_ROWS,
+    fit_bytes: int = FIT_BYTES,
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
 ) -> ToxicityModel:
-    """Fit on up to ``fit_rows`` labelled rows of each class that are not held out.
+    """Fit on labelled rows that are not held out: of each class up to ``fit_rows``, ``fit_bytes``.
 
-    The rows are those with the smallest hash of their id. Their texts come to the driver
-    whole; nothing else does. Rows without id or label are left out; of several labels of a
-    document the largest counts, of several documents with its id all.
+    The rows are those with the smallest hashes of id and text, as long as their texts together
+    are within the bytes; rows equal in both count once. One task gets them whole; the driver
+    gets their ids, digests and sizes, and the model. Of near copies among them (80 % or more of
+    their five-word shingles) one is fitted on. Rows without id or label are left out; of several
+    labels of a document the largest counts, of several documents with its id all.
     """
     known = (
-        labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
+        labels.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("_label"))
         .filter(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
         .groupBy("_id").agg(F.max("_label").alias("_label"))
     )
-    order = F.xxhash64("_id"), F.col("_id")
-    chosen = None
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    texts = docs.select(
+        F.col(f"`{doc_id}`").alias("_id"), F.md5(content).alias("_digest"), content.alias("_text")
+    )
+    slim = texts.select("_id", "_digest", F.octet_length("_text").alias("_bytes")).join(known, "_id").distinct()
+    order = F.xxhash64("_id", "_digest"), F.col("_id"), F.col("_digest")
+    chosen = []
     for value in (0, 1):
-        part = known.filter(F.col("_label") == value).orderBy(*order).limit(fit_rows)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").toPandas()
-    rows = rows.sort_values(["_id", "_text"], na_position="first")
-    return fit_texts(rows["_text"].tolist(), rows["_label"].tolist())
+        left = fit_bytes
+        for row in slim.filter(F.col("_label") == value).orderBy(*order).limit(fit_rows).collect():
+            if row["_bytes"] <= left:
+                left -= row["_bytes"]
+                chosen.append((row["_id"], row["_digest"], value))
+    wanted = docs.sparkSession.createDataFrame(
+        chosen, f"_id {texts.schema['_id'].dataType.simpleString()}, _digest string, _label int"
+    )
+    rows = texts.join(F.broadcast(wanted), ["_id", "_digest"]).dropDuplicates(["_id", "_digest"])
+    rows = rows.select("_id", "_digest", "_label", "_text").repartition(1).sortWithinPartitions("_id", "_digest")
+    found = rows.mapInArrow(
+        _fitted, "ordinary binary, toxic binary, centre array<double>, scale array<double>, weights array<double>"
+    ).first()
+    if found is None:  # no task ran, as there are no rows
+        return fit_texts([], [])
+    return ToxicityModel(
+        bytes(found["ordinary"]), bytes(found["toxic"]),
+        *(tuple(found[name]) for name in ("centre", "scale", "weights")),
+    )
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A model from the one task's rows, of which there are a bounded number."""
+    texts, labels = [], []
+    for batch in batches:
+        texts += batch.column("_text").to_pylist()
+        labels += batch.column("_label").to_pylist()
+    numbers = pa.list_(pa.float64())
+    schema = pa.schema([
+        ("ordinary", pa.binary()), ("toxic", pa.binary()), ("centre", numbers), ("scale", numbers), ("weights", numbers),
+    ])
+    yield pa.RecordBatch.from_pylist([asdict(fit_texts(texts, labels))], schema)
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:

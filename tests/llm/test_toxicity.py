@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 from helpers import odd_docs, tuples
 from pyspark.sql import functions as F
 
 from rollbook.llm.queries import op2_toxicity
-from rollbook.llm.toxicity import fit, fit_texts, held_out, keep_ordinary, toxicity_score
+from rollbook.llm import toxicity
+from rollbook.llm.toxicity import _once, fit, fit_texts, held_out, keep_ordinary, toxicity_score
 
 SF_DIR = "/root/testdata/sf0.1"
 
@@ -30,6 +32,44 @@ def test_held_out_accuracy(spark):
     assert sum(told) / len(told) > 0.8 and sum(told) / sum(r.toxic for r in rows) > 0.65
 
 
+def test_near_copies_are_fitted_on_once():
+    words = [f"w{n}" for n in range(60)]
+    near = " ".join(words[:59] + ["other"])  # 55 of 57 shingles of five words
+    far = " ".join(words[:30] + [f"v{n}" for n in range(30)])
+    texts = [" ".join(words), near, far, None, "", " ".join(words).upper(), "a b", None]
+    assert _once(texts) == [0, 2, 3, 4, 6, 7]
+
+
+def test_toxic_words_are_found_by_what_they_save():
+    """Words that recur in toxic texts and in hardly any other, whatever the words."""
+    chance = random.Random(3)
+    common = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in "lmnrst"]
+    marks = ["zorkle", "quaxim", "vyrn"]
+    texts, labels = [], []
+    for n in range(400):
+        words = chance.choices(common, k=60) + ["honest", "mention"]
+        if n % 4 == 0:
+            words += chance.choices(marks, k=3)
+        chance.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append(int(n % 4 == 0))
+    model = fit_texts(texts, labels)
+    own = model.toxic[: len(model.toxic) - len(model.ordinary)].split()
+    assert set(own) == {mark.encode() for mark in marks}
+    score = model.scorer()
+    assert score("some honest zorkle mention of vyrn quaxim") > 0.7 > score("some honest mention of this")
+
+
+def test_rows_and_bytes_to_fit_on_are_bounded(spark):
+    docs = spark.createDataFrame([(n, "word " * (1 + n)) for n in range(90)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(90)], "doc_id long, toxic int")
+    def fit_few(**how):
+        return fit(docs, labels, **how)
+
+    assert fit_few(fit_rows=5) != fit_few(fit_rows=40)
+    assert fit_few(fit_bytes=0).scorer()("word") == toxicity.fit_texts([], []).scorer()("word")
+
+
 def test_labels_held_out_have_no_say(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
