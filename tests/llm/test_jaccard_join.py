@@ -8,7 +8,7 @@ from helpers import lower, odd_docs, spaced, tuples
 
 from rollbook.llm import jaccard_join
 from rollbook.llm.jaccard_join import (
-    _classes, _most_apart, grids, jaccard_components, keep_one, linked, region_keys, sketches,
+    _most_apart, folded, jaccard_components, keep_one, levels, linked, region_keys, sketch,
 )
 
 
@@ -69,6 +69,7 @@ def test_against_brute_force(spark, seed, tile, monkeypatch):
 
 def test_linked_sets_always_meet():
     chance = np.random.default_rng(7)
+    counts = chance.integers(0, 9, jaccard_join.BUCKETS)
     for size in [*range(6, 60), 100, 333, 1000, 5000]:
         x = np.unique(chance.integers(0, 2**63, size).astype(np.uint64))
         for _ in range(6):
@@ -78,13 +79,12 @@ def test_linked_sets_always_meet():
             if linked(x, y):
                 a, b = sorted((len(x), len(y)))
                 apart = len(x) + len(y) - 2 * len(np.intersect1d(x, y))
-                assert apart <= _most_apart(a) and _classes(a) in set(grids(a)) & set(grids(b))
-                assert set(x) == set(y) or set(region_keys(x)) & set(region_keys(y))
-                bits = {k["m"]: k["bits"] for k in sketches(x)}
-                for k in sketches(y):
-                    if k["m"] in bits:
-                        gap = int.from_bytes(k["bits"]) ^ int.from_bytes(bits[k["m"]])
-                        assert gap.bit_count() <= apart
+                assert apart <= _most_apart(a) and max(levels(a)) in levels(b)
+                assert set(x) == set(y) or set(region_keys(x, counts)) & set(region_keys(y, counts))
+                bits = [np.frombuffer(sketch(one), np.uint8) for one in (x, y)]
+                size = 8 * min(map(len, bits))
+                gap = folded(bits[0], size) ^ folded(bits[1], size)
+                assert np.bitwise_count(gap).sum() <= apart
 
 
 def test_odd_rows(spark):
@@ -106,3 +106,33 @@ def test_keep_one_of_each_component(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     kept = sorted(r.doc_id for r in keep_one(docs).collect())
     assert kept == sorted({component for _, _, component in _plain(rows)})
+
+
+def _with_sentence(count):
+    """Short texts that share one sentence, and nothing else."""
+    sentence = " ".join(f"s{n}" for n in range(9))
+    return [(n, f"{sentence} " + " ".join(f"w{n}x{m}" for m in range(6))) for n in range(count)]
+
+
+@pytest.mark.parametrize("count", [1000, 4000])
+def test_a_common_sentence_makes_no_region(spark, count):
+    docs = spark.createDataFrame(_with_sentence(count), "doc_id long, text string").repartition(8)
+    with jaccard_join.Tables() as tables:
+        join = jaccard_join._Join(docs, 4, 85, "doc_id", "text", tables)
+        assert join.sets.count() == count and join.stars().isEmpty()
+
+
+def test_cells_of_a_region_beyond_a_task(spark, monkeypatch):
+    """2,200 texts that share most of a passage, too little of it to link, but for 30 planted pairs."""
+    passage = " ".join(f"p{n}" for n in range(47))
+    rows = [(n, f"{passage} " + " ".join(f"w{n}x{m}" for m in range(6))) for n in range(2200)]
+    rows += [(3000 + n, f"{passage} " + " ".join(f"w{n}x{m}" for m in range(5)) + " other") for n in range(0, 60, 2)]
+    cut = []
+    cells = jaccard_join._Join._cut
+    monkeypatch.setattr(
+        jaccard_join._Join, "_cut", lambda self, large, named: cut.append(large.count()) or cells(self, large, named)
+    )
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert cut and min(cut) > jaccard_join.TILE == 2048
+    assert found == {n: (n - 3000 if n >= 3000 else n) for n, _ in rows}

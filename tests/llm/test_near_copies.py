@@ -7,7 +7,7 @@ from test_jaccard_join import _near_copies
 
 import corpus_pipeline
 from rollbook.llm import jaccard_join
-from rollbook.llm.jaccard_join import grids, jaccard_components, keep_one, linked, region_keys
+from rollbook.llm.jaccard_join import jaccard_components, keep_one, levels, linked, region_keys
 
 
 def _shingles(text, size):
@@ -58,6 +58,7 @@ def test_threshold_is_the_callers(spark):
 def test_linked_sets_meet_at_any_threshold(percent):
     chance = np.random.default_rng(percent)
     met = 0
+    counts = chance.integers(0, 9, jaccard_join.BUCKETS)
     for size in [*range(2, 60), 100, 333, 1000]:
         x = np.unique(chance.integers(0, 2**63, size).astype(np.uint64))
         for _ in range(12):
@@ -66,6 +67,6 @@ def test_linked_sets_meet_at_any_threshold(percent):
             y = np.unique(np.r_[chance.permutation(x)[drop:], fresh])
             if len(y) and linked(x, y, percent) and set(x) != set(y):
                 met += 1
-                assert set(grids(len(x), percent)) & set(grids(len(y), percent))
-                assert set(region_keys(x, percent)) & set(region_keys(y, percent))
+                assert set(levels(len(x), percent)) & set(levels(len(y), percent))
+                assert set(region_keys(x, counts, percent)) & set(region_keys(y, counts, percent))
     assert met > 30
