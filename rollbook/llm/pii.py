@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import own, stored, wrapped
+from .membership import bitmap, key_hash, parted, possible
+from .store import Tables, own, wrapped
 from .words import alnum_words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -19,8 +20,6 @@ CORRECTION = 0.5
 #: Share of an entity's information that a term may give away; above the second it is removed.
 GENERALISE_AT = 0.75
 REMOVE_AT = 0.9
-#: Terms up to this many bytes are broadcast to count them in all documents.
-BROADCAST_BYTES = 32 << 20
 LOTS = 16
 
 # The patterns of the base kinds. Each starts where its run of characters
@@ -97,32 +96,33 @@ def _entities(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
 
 _SCAN = (
     "_id {id}, _digest string, base array<struct<kind:string,start:int,stop:int>>, "
-    "entities array<string>, words array<struct<term:string,start:int,stop:int>>"
+    "entities array<string>, terms array<string>, kept string"
 )
 _MARKED = (
     "doc_id {id}, _digest string, base array<struct<kind:string,start:int,stop:int>>, "
     "terms array<struct<start:int,stop:int,action:string,disclosure:double>>"
 )
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
-_WORDS = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
 _TERMS = pa.list_(pa.struct([
     ("start", pa.int32()), ("stop", pa.int32()), ("action", pa.string()), ("disclosure", pa.float64()),
 ]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the base patterns find; of texts with entities also the different words and the text."""
     for batch in batches:
-        bases, entities, words = [], [], []
+        bases, entities, terms, kept = [], [], [], []
         for value in batch.column("_text"):
             text = value.as_py() or ""
             spans = base_spans(text)
             bases.append([{"kind": k, "start": s, "stop": e} for k, s, e in spans])
             entities.append(_entities(text, spans))
-            words.append(_words(text, spans))
+            terms.append(sorted({word["term"] for word in _words(text, spans)}))
+            kept.append(text if spans else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column("_id"), batch.column("_digest"), pa.array(bases, _SPANS),
-             pa.array(entities, pa.list_(pa.string())), pa.array(words, _WORDS)],
-            names=["_id", "_digest", "base", "entities", "words"],
+             *(pa.array(lists, pa.list_(pa.string())) for lists in (entities, terms)), pa.array(kept, pa.string())],
+            names=["_id", "_digest", "base", "entities", "terms", "kept"],
         )
 
 
@@ -132,12 +132,13 @@ def _mark(remove_at: float):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             terms = []
-            for words, told in zip(batch.column("words"), batch.column("told")):
+            for text, base, told in zip(*(batch.column(name) for name in ("kept", "base", "told"))):
                 told = {t["term"]: t["disclosure"] for t in told.as_py() or ()}
+                spans = [(s["kind"], s["start"], s["stop"]) for s in base.as_py()] if told else []
                 terms.append([
                     {"start": w["start"], "stop": w["stop"], "disclosure": told[w["term"]],
                      "action": "remove" if told[w["term"]] >= remove_at else "generalise"}
-                    for w in (words.as_py() if told else ()) if w["term"] in told
+                    for w in _words(text.as_py() or "", spans) if w["term"] in told
                 ])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_digest"), batch.column("base"), pa.array(terms, _TERMS)],
@@ -156,21 +157,29 @@ def _in_all_lots(rows: DataFrame) -> DataFrame:
     return rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))))
 
 
-def _told(scanned: DataFrame, texts: DataFrame, at: float) -> DataFrame:
+def _told(scanned: DataFrame, texts: DataFrame, at: float, tables: Tables) -> DataFrame:
     """Of each text the terms that give one of its entities away: ``_digest, term, disclosure``.
 
     With counts of different texts n and N in all, a term tells
     PMI = log((n_et - 1/2) N / (n_e n_t)) about an entity of information log(N / n_e);
     ``disclosure`` is the one by the other. A text may come several times, once for an entity.
     """
-    total = float(max(scanned.select("_digest").distinct().count(), 1))
+    digests = tables.stored(scanned.groupBy("_digest").agg(F.count("*").alias("copies")), "pii_digests")
+    total = float(max(digests.count(), 1))
     holding = scanned.filter(F.size("entities") > 0)
-    held = stored(holding.select("_digest", F.explode("entities").alias("entity")).distinct(), "pii_held")
-    words = F.array_distinct(F.transform("words", lambda w: w["term"]))
-    terms = stored(holding.select("_digest", F.explode(words).alias("term")).distinct(), "pii_terms")
-    different = texts.select("_digest", "_text").dropDuplicates(["_digest"])
-    documents = stored(_documents(different, terms), "pii_documents")
-    entities = stored(held.groupBy("entity").agg(F.count("*").alias("n_e")), "pii_entities")
+    held = tables.stored(
+        holding.select("_digest", F.explode("entities").alias("entity")).distinct(), "pii_held"
+    )
+    terms = tables.stored(
+        holding.select("_digest", F.explode("terms").alias("term")).distinct(), "pii_terms"
+    )
+    # Only texts that come several times have to move, so as to be counted once.
+    repeated = digests.filter("copies > 1").select(key_hash(F.col("_digest")).alias("k"))
+    texts = texts.select("_digest", "_text")
+    maybe, once = parted(texts, key_hash(F.col("_digest")), bitmap(repeated, tables, "pii_repeated"))
+    different = once.unionByName(maybe.dropDuplicates(["_digest"]))
+    documents = tables.stored(_documents(different, terms, tables), "pii_documents")
+    entities = tables.stored(held.groupBy("entity").agg(F.count("*").alias("n_e")), "pii_entities")
 
     def disclosure(n_et, n_e, n_t):
         pmi = F.log2((n_et - CORRECTION) * total / (n_e * n_t))
@@ -188,28 +197,30 @@ def _told(scanned: DataFrame, texts: DataFrame, at: float) -> DataFrame:
 
     recurring = entities.filter("n_e > 1")
     pairs = _dealt(held, "_digest").join(_in_all_lots(recurring), ["entity", "lot"])
-    pairs = stored(pairs.select("_digest", "entity"), "pii_recurring").join(terms, "_digest")
+    pairs = tables.stored(pairs.select("_digest", "entity"), "pii_recurring").join(terms, "_digest")
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
     told = _dealt(together, "term").join(_in_all_lots(recurring), ["entity", "lot"])
     told = _dealt(told.drop("lot"), "entity").join(_in_all_lots(documents), ["term", "lot"])
     told = told.withColumn("disclosure", disclosure(F.col("n_et"), F.col("n_e"), F.col("n_t")))
-    told = stored(told.filter(F.col("disclosure") >= at).select("entity", "term", "disclosure"), "pii_told")
+    told = tables.stored(
+        told.filter(F.col("disclosure") >= at).select("entity", "term", "disclosure"), "pii_told"
+    )
     by_many = _dealt(pairs, "_digest").join(_in_all_lots(told), ["entity", "term", "lot"])
     columns = ["_digest", "term", "disclosure"]
     return by_one.select(columns).unionByName(by_many.select(columns))
 
 
-def _documents(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many texts each of ``terms`` stands: ``term, n_t``."""
-    terms = stored(terms.select("term").distinct(), "pii_wanted")
-    size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 40), F.lit(0))).first()[0]
-    wanted = F.broadcast(terms) if size <= BROADCAST_BYTES else terms
+def _documents(texts: DataFrame, terms: DataFrame, tables: Tables) -> DataFrame:
+    """In how many texts each of ``terms`` stands: ``term, n_t``.
+
+    Words that a bitmap of the terms rules out are gone before anything is added up, and what
+    each task has added up is all that crosses, however many terms there are.
+    """
+    terms = tables.stored(terms.select("term").distinct(), "pii_wanted")
+    wanted = bitmap(terms.select(key_hash(F.col("term")).alias("k")), tables, "pii_wanted_bitmap")
     words = texts.select(F.explode(F.array_distinct(alnum_words(F.col("_text")))).alias("term"))
-    if size > BROADCAST_BYTES:
-        words = words.groupBy("term").agg(F.count("*").alias("n"))
-    else:
-        words = words.withColumn("n", F.lit(1).cast("long"))
-    return words.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
+    counted = possible(words, key_hash(F.col("term")), wanted).groupBy("term").agg(F.count("*").alias("n_t"))
+    return counted.join(terms, "term", "left_semi")
 
 
 def find_pii(
@@ -239,19 +250,27 @@ def find_pii(
         F.col(text).alias("_text"),
     )
     kind = texts.schema["_id"].dataType.simpleString()
-    scanned = stored(texts.mapInArrow(_scan, _SCAN.format(id=kind)), "pii_scan")
-    told = stored(_told(scanned, texts, generalise_at), "pii_disclosure")
-    told = told.groupBy("_digest", "term").agg(F.max("disclosure").alias("disclosure")).groupBy(
-        F.col("_digest").alias("_of")
-    ).agg(F.collect_list(F.struct("term", "disclosure")).alias("told"))
+    with Tables() as tables:
+        scanned = tables.stored(texts.mapInArrow(_scan, _SCAN.format(id=kind)), "pii_scan")
+        told = _told(scanned, texts, generalise_at, tables)
+        told = told.groupBy("_digest", "term").agg(F.max("disclosure").alias("disclosure")).groupBy(
+            F.col("_digest").alias("_of")
+        ).agg(F.collect_list(F.struct("term", "disclosure")).alias("told"))
+        told = tables.stored(told, "pii_disclosure")
+        tables.keep(scanned, told)
     # Very many rows may have one text.
-    rows = scanned.withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(LOTS)).cast("int"))
+    holding = scanned.filter(F.size("entities") > 0)
+    rows = holding.withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(LOTS)).cast("int"))
     found = rows.join(
         _in_all_lots(told).withColumnRenamed("lot", "_in"),
         (F.col("_digest") == F.col("_of")) & (F.col("lot") == F.col("_in")), "left",
     )
-    return found.select("_id", "_digest", "base", "words", "told").mapInArrow(
-        _mark(remove_at), _MARKED.format(id=kind)
+    schema = _MARKED.format(id=kind)
+    marked = found.select("_id", "_digest", "base", "kept", "told").mapInArrow(_mark(remove_at), schema)
+    none = F.array().cast(marked.schema["terms"].dataType)
+    others = scanned.filter(F.size("entities") == 0)
+    return marked.unionByName(
+        others.select(F.col("_id").alias("doc_id"), "_digest", "base", none.alias("terms"))
     )
 
 

@@ -7,7 +7,7 @@ from collections import Counter
 
 from helpers import alnum, odd_docs, tuples
 
-from rollbook.llm import pii
+from rollbook.llm import membership
 from rollbook.llm.pii import base_spans, find_pii, sanitise
 
 
@@ -104,11 +104,12 @@ def test_terms_against_brute_force(spark):
     assert clean[2] == texts[2] and "[PHONE]" in clean[3] and "plumber" not in clean[3]
 
 
-def test_both_ways_to_count_terms_agree(spark, monkeypatch):
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     rows = [(n, f"word{n % 5} secret a@b.co near") for n in range(30)] + [(n, "near word1") for n in range(30, 90)]
+    rows += [(n, rows[n][1]) for n in range(0, 90, 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     first = tuples(find_pii(docs))
-    monkeypatch.setattr(pii, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(membership, "BITS", 64)
     assert tuples(find_pii(docs)) == first
 
 
