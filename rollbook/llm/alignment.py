@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,10 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Ends of both lists that a piece merges.
 PIECE = 4096
-#: Characters that are encoded together at least; the cut is at a space that no token crosses.
+#: Characters that the byte-level tokenizer gets at once, to the end of a word.
 CHUNK = 1 << 15
+#: Words that a task remembers the pieces of, and characters of the longest such word.
+REMEMBERED, LONGEST = 1 << 17, 64
 #: Rows that a task holds between reading and handing on.
 ROWS = 64
 #: Pair counts are broadcast when measured at this many bytes or less, and otherwise shuffled.
@@ -44,8 +47,9 @@ LOTS = 64
 WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-# Either tokenizer starts anew at a space between two such characters.
-_CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+# Either tokenizer starts anew at a space between characters that are no white space, where U+2581
+# counts as some: words are cut there, and no piece has a space behind anything else.
+_CUT = re.compile(r"(?<=[^\s\u2581]) (?=[^\s\u2581])")
 
 
 def _byte_level() -> dict[str, int]:
@@ -59,17 +63,16 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
-def _chunks(text: str) -> Iterator[str]:
-    """``text`` cut at spaces, which go; each part is encoded with a space before it."""
-    start = 0
-    while cut := _CUT.search(text, start + CHUNK):
-        yield text[start : cut.start()]
-        start = cut.end()
-    yield text[start:]
+def words_of(text: str) -> list[str]:
+    """``text`` cut at the spaces where both tokenizers start anew, which go."""
+    return _CUT.split(text) if text else []
 
 
 class ByteTokens:
-    """Ids and bytes of the byte-level tokenizer (A); special tokens are ordinary text."""
+    """Ids of the byte-level tokenizer (A); special tokens are ordinary text.
+
+    Its tokens are slices of the bytes, so they always make up the text again.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -87,13 +90,28 @@ class ByteTokens:
         self.bytes = [b""] * (max(ranks.values()) + 1)
         for token, n in ranks.items():
             self.bytes[n] = token
+        self._lengths = np.array(list(map(len, self.bytes)), np.int64)
 
-    def encode(self, text: str) -> list[int]:
-        return [n for part in _chunks(text) for n in self._encoding.encode_ordinary(" " + part)]
+    def ids(self, text: str) -> np.ndarray:
+        """Of a space and the text, which is encoded in parts, so that memory stays bounded."""
+        if not text:
+            return np.empty(0, np.int32)
+        text, parts, start = " " + text, [], 0
+        while cut := _CUT.search(text, start + CHUNK):
+            parts += self._encoding.encode_ordinary(text[start : cut.start()])
+            start = cut.start()
+        return np.array(parts + self._encoding.encode_ordinary(text[start:]), np.int32)
+
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        """The byte after each token."""
+        return self._lengths[ids].cumsum()
 
 
 class PieceTokens:
-    """Ids and bytes of the piece tokenizer (B), which puts a space before a text itself."""
+    """Ids of the piece tokenizer (B), which puts a space before a text itself.
+
+    A text is put together from its words, whose ids are remembered.
+    """
 
     def __init__(self, path: str):
         self._pieces = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -102,19 +120,37 @@ class PieceTokens:
             else piece.replace("▁", " ").encode("utf-8")
             for n, piece in enumerate(map(self._pieces.id_to_piece, range(self._pieces.get_piece_size())))
         ]
-
-    def encode(self, text: str) -> list[int]:
-        return [n for part in _chunks(text) for n in self._pieces.encode(part)]
-
-
-def _ids_and_ends(tokens, text: str, whole: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Ids, and the byte after each token; none where the tokens' bytes are not ``whole``."""
-    ids = tokens.encode(text)
-    parts = [tokens.bytes[n] for n in ids]
-    if b"".join(parts) != whole:
-        ids, parts = [], []
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-    return np.array(ids, np.int64), ends
+        self._lengths = np.array(list(map(len, self.bytes)), np.int64)
+        self._known: dict[str, array | None] = {}
+
+    def ids(self, texts: list[list[str]]) -> list[np.ndarray | None]:
+        """Of each text, given as words; None where the tokens' bytes are not the text's again."""
+        new = {word for words in texts for word in words if word not in self._known}
+        if len(self._known) + len(new) > REMEMBERED:
+            self._known.clear()
+            new = {word for words in texts for word in words}
+        now = dict(zip(new, self._pieces.encode(list(new), num_threads=1)))
+        table = self.bytes.__getitem__
+        for word, ids in now.items():
+            whole = b"".join(map(table, ids)) == (" " + word).encode("utf-8")
+            self._known[word] = array("i", ids) if whole else None
+        found = []
+        for words in texts:
+            parts = list(map(self._known.__getitem__, words))
+            if None in parts:
+                found.append(None)
+                continue
+            ids = array("i")
+            for part in parts:
+                ids.extend(part)
+            found.append(np.frombuffer(ids, np.int32) if parts else np.empty(0, np.int32))
+        for word in now:
+            if len(word) > LONGEST:
+                del self._known[word]
+        return found
+
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        return self._lengths[ids].cumsum()
 
 
 def diagonals(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
@@ -185,16 +221,15 @@ def _align(byte_bpe: str, piece_bpe: str):
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
                 found = {name: [] for name in _LISTS}
-                for value in batch.column("_text"):
-                    text = value.as_py() or ""
-                    spaced = (" " + text).encode("utf-8") if text else b""
-                    sides = [_ids_and_ends(side, text, spaced) for side in tokens] if text else []
-                    if not all(len(ids) for ids, _ in sides) or not sides:
-                        sides = [(np.empty(0, np.int64),) * 2] * 2
-                    (a_ids, a_ends), (b_ids, b_ends) = sides
+                texts = [value.as_py() or "" for value in batch.column("_text")]
+                pieces = tokens[1].ids([words_of(text) for text in texts])
+                for text, b_ids in zip(texts, pieces):
+                    a_ids = tokens[0].ids(text if b_ids is not None else "")
+                    b_ids = np.empty(0, np.int32) if b_ids is None else b_ids
+                    a_ends, b_ends = tokens[0].ends(a_ids), tokens[1].ends(b_ids)
                     links, stops = overlaps(a_ends, b_ends)
                     pairs, often = np.unique(
-                        a_ids[links[0]] << 32 | b_ids[links[1]], return_counts=True
+                        a_ids[links[0]].astype(np.int64) << 32 | b_ids[links[1]], return_counts=True
                     )
                     for name, values in zip(_LISTS, (a_ids, b_ids, *stops, pairs, often)):
                         found[name].append(values)
@@ -209,26 +244,28 @@ def _align(byte_bpe: str, piece_bpe: str):
     return align
 
 
-def align(
-    docs: DataFrame, *, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE, doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
+def _plan(
+    docs: DataFrame, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE, doc_id: str = "doc_id", text: str = "text",
+):
+    rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    return _align(byte_bpe, piece_bpe), docs.schema[doc_id].dataType.simpleString(), rows
+
+
+def align(docs: DataFrame, **how) -> DataFrame:
     """The tokens of both tokenizers for every whole text, their groups and overlaps.
 
     Returns ``doc_id``; ``a_ids, b_ids`` of a space and the text; ``a_stops, b_stops``, for each
     group how many tokens of either side lie before its end; ``pairs``, the different id pairs
     (A's id times 2**32 plus B's) of tokens whose byte ranges overlap, in order; and ``links``,
-    how often each overlaps. Paths name files that every executor can open.
+    how often each overlaps. ``byte_bpe`` and ``piece_bpe`` name the tokenizers' files, which
+    every executor can open; ``doc_id`` and ``text`` name columns.
 
     Null and empty texts, and those whose tokens' bytes are not the space and text again, have
-    empty lists. A row is returned for each row, whatever its id; other columns are not read. A
-    text is encoded in parts cut where no token of either side reaches over, so that the
-    tokenizers' own memory does not grow with its length.
+    empty lists. A row is returned for each row, whatever its id; other columns are not read.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
+    make, kind, rows = _plan(docs, **how)
     lists = ", ".join(f"{name} array<{of}>" for name, of in _LISTS.items())
-    rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    return rows.mapInArrow(_align(byte_bpe, piece_bpe), f"doc_id {kind}, {lists}")
+    return rows.mapInArrow(make, f"doc_id {kind}, {lists}")
 
 
 def _written(ids: int) -> np.ndarray:
@@ -273,15 +310,20 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def digested(aligned: DataFrame) -> DataFrame:
-    """``aligned`` with counts and a digest of the groups in place of the tokens, and a ``_row`` number."""
-    kind = aligned.schema["doc_id"].dataType.simpleString()
-    rows = aligned.mapInArrow(
-        _digest,
+def digests(docs: DataFrame, **how) -> DataFrame:
+    """:func:`align` with counts and a digest of the groups in place of the tokens.
+
+    Returns ``_row`` (a number for each row), ``doc_id, n_a, n_b, n_groups, groups_sha256, pairs,
+    links``; takes what :func:`align` takes. Tokens are turned into digests by the task that made
+    them, so that they are never held by more than a few rows.
+    """
+    make, kind, rows = _plan(docs, **how)
+    made = rows.mapInArrow(
+        lambda batches: _digest(make(batches)),
         f"doc_id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, "
         "pairs array<long>, links array<int>",
     )
-    return rows.withColumn("_row", F.monotonically_increasing_id())
+    return made.withColumn("_row", F.monotonically_increasing_id())
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

@@ -148,8 +148,7 @@ def op10_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = alignment.align(_table(spark, sf_dir, "documents"))
-    rows = stored(alignment.digested(aligned), "align_rows")
+    rows = stored(alignment.digests(_table(spark, sf_dir, "documents")), "align_rows")
     return alignment.link_totals(rows, alignment.pair_counts(rows)).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )

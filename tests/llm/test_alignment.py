@@ -10,7 +10,7 @@ from helpers import odd_docs, tuples
 from tokenizers import Tokenizer
 
 from rollbook.llm import alignment, queries
-from rollbook.llm.alignment import ByteTokens, PieceTokens, diagonals, overlaps
+from rollbook.llm.alignment import ByteTokens, PieceTokens, diagonals, overlaps, words_of
 
 ODD = [
     "a", " ", "  two  spaces ", "tab\tand\nline\r\n\r\n", "<|endoftext|> <s> </s> <unk> <0x41>", "▁low",
@@ -80,12 +80,18 @@ def test_pieces_give_the_same_overlaps(piece):
 
 
 def test_tokens_are_those_of_the_files(tokens, plain_a, monkeypatch):
-    texts = _texts(1) + [" ".join(_texts(2))]
-    for chunk in (1 << 15, 20):
+    texts = _texts(1) + [" ".join(_texts(2)), "\u2581 a \u2581b c\u2581 d", "a \x85 b\x1c c \u3000d \u200b e"]
+    for remembered, chunk in ((1 << 17, 1 << 15), (3, 20)):
+        monkeypatch.setattr(alignment, "REMEMBERED", remembered)
         monkeypatch.setattr(alignment, "CHUNK", chunk)
-        for text in texts:
-            assert tokens[0].encode(text) == plain_a(text)
-            assert tokens[1].encode(text) == tokens[1]._pieces.encode(text)
+        for text, found in zip(texts, tokens[1].ids([words_of(text) for text in texts])):
+            assert tokens[0].ids(text).tolist() == plain_a(text)
+            if found is None:  # U+2581 is a space to this tokenizer
+                assert "\u2581" in text
+            else:
+                assert found.tolist() == tokens[1]._pieces.encode(text)
+    for text in (" ".join(f"w{n}" for n in range(40_000)), "x" * 100_000):
+        assert tokens[0].ids(text).tolist() == plain_a(text)
 
 
 def _expected(rows, tokens, plain_a):
@@ -109,7 +115,7 @@ NAMES = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "n_links", "n_best
 def test_against_brute_force(spark, tokens, plain_a, broadcast_bytes):
     rows = list(enumerate(_texts(5))) + [(None, "null id"), (None, None), (3, ""), (3, "again")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    made = alignment.stored(alignment.digested(alignment.align(docs)), "test_align")
+    made = alignment.stored(alignment.digests(docs), "test_align")
     got = alignment.link_totals(made, alignment.pair_counts(made), broadcast_bytes=broadcast_bytes)
     assert tuples(got.select(NAMES)) == _expected(rows, tokens, plain_a)
 
@@ -138,5 +144,5 @@ def test_odd_rows(spark):
         assert sum(row.links) == len(row.a_ids) + len(row.b_ids) - len(row.a_stops)
     none = [r for r in found.collect() if r.doc_id in (2, 3)]
     assert len(none) == 2 and all(not r.a_ids and not r.pairs for r in none)
-    empty = alignment.stored(alignment.digested(alignment.align(docs.limit(0))), "test_align_empty")
+    empty = alignment.stored(alignment.digests(docs.limit(0)), "test_align_empty")
     assert alignment.link_totals(empty, alignment.pair_counts(empty)).isEmpty()
