@@ -167,23 +167,39 @@ def _same(other: dict[str, str]) -> Column:
     return same
 
 
+def _few(rows: DataFrame) -> bool:
+    """Whether ``rows``, measured in a job, take no more than Spark's limit for broadcasting.
+
+    Spark itself goes by estimates, which take the size of files for that of their rows in
+    memory, and an exploded row for one. So what may be large is not left to it.
+    """
+    limit = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if limit < 0:
+        return False
+    size = F.lit(8).cast("bigint")
+    for name in rows.columns:
+        size += 16 + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    return (rows.agg(F.sum(size)).first()[0] or 0) <= limit
+
+
 def _newest_of_targets(cells: DataFrame, targets: DataFrame) -> DataFrame:
     """The newest version of each target cell that there is, written to be read back.
 
-    Versions meet the targets in lots, so that a hot cell is no single task's, and are
-    reduced to one for each task before they cross.
+    Few targets are broadcast. Many meet the versions in lots, so that a hot cell is no
+    single task's; what they hit is reduced to one for each task before it crosses.
     """
     theirs = {name: f"_target_{name}" for name in CELL_KEY}
-    lots = F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1)))
-    keys = (
-        targets.select(*[F.col(name).alias(their) for name, their in theirs.items()])
-        .distinct()
-        .withColumn("_target_lot", lots)
-    )
-    dealt = cells.select(*CELL_KEY, "ts", "value").withColumn(
-        "_lot", F.pmod(F.xxhash64("ts", "value"), F.lit(LOTS)).cast("int")
-    )
-    hit = dealt.join(keys, _same(theirs | {"_lot": "_target_lot"}), "left_semi")
+    keys = targets.select(*[F.col(name).alias(their) for name, their in theirs.items()]).distinct()
+    versions = cells.select(*CELL_KEY, "ts", "value")
+    if _few(keys):
+        hit = versions.join(F.broadcast(keys), _same(theirs), "left_semi")
+    else:
+        lots = F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1)))
+        dealt = versions.withColumn(
+            "_lot", F.pmod(F.xxhash64("ts", "value"), F.lit(LOTS)).cast("int")
+        )
+        keys = keys.withColumn("_target_lot", lots).hint("merge")
+        hit = dealt.join(keys, _same(theirs | {"_lot": "_target_lot"}), "left_semi")
     newest = hit.groupBy(*CELL_KEY).agg(F.max(_version()).alias("newest"))
     return written(newest.select(*CELL_KEY, "newest.ts", "newest.value"), "newest_cells")
 
@@ -193,14 +209,16 @@ def cells_drop(cells: DataFrame, targets: DataFrame) -> DataFrame:
 
     ``targets`` has ``row_key, family, qualifier``; older versions stay. A job of its own
     finds the newest versions of the targets, one row for each. The result then reads
-    ``cells`` once and leaves out what equals one of those rows. With few targets, which
-    Spark broadcasts by its own size check, no cell is shuffled by either. With many, cells
-    are shuffled once to find the newest, dealt to 16 lots, and once to leave them out, by
-    cell and version, so that a hot cell is no single task's.
+    ``cells`` once and leaves out what equals one of those rows. Either table is broadcast
+    where its rows are measured at no more than ``spark.sql.autoBroadcastJoinThreshold``, so
+    that with few targets no cell is shuffled. Otherwise cells are shuffled, dealt to 16 lots
+    to find the newest, and by cell and version to leave them out, so that a hot cell is no
+    single task's. Measuring reads the keys of ``targets`` once more.
     """
     newest = _newest_of_targets(cells, targets)
     mark = "_newest_"
     while any(name.lower().startswith(mark) for name in cells.columns):
         mark = "_" + mark
     same = _same({name: mark + name for name in newest.columns})
+    newest = F.broadcast(newest) if _few(newest) else newest.hint("merge")
     return cells.join(newest.toDF(*[mark + name for name in newest.columns]), same, "left_anti")

@@ -124,6 +124,25 @@ def test_few_targets_leave_all_cells_unshuffled(spark, tmp_path, monkeypatch):
     assert "LeftSemi" in found.split("partial_max")[1]
 
 
+def test_many_targets_in_small_files_are_not_broadcast(spark, tmp_path, monkeypatch):
+    rows = spark.range(40_000).selectExpr(
+        "cast(id div 2 as string) row_key", "'f' family", "'q' qualifier", "id ts", "'v' value"
+    )
+    rows.write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    targets = scratch.written(cells.select("row_key", "family", "qualifier").distinct(), "targets")
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # More than the files of targets and of newest versions, less than their rows in memory.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        for plan in _plans_run(spark, monkeypatch, lambda: rb.cells_drop(cells, targets)):
+            assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
+        left = rb.cells_drop(cells, targets)
+        assert left.count() == 20_000 and left.filter("ts % 2 = 1").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+
+
 @pytest.mark.parametrize("width", [4, 900])
 def test_cells_are_gathered_by_place(spark, width):
     rows = spark.range(4000).selectExpr(
