@@ -157,6 +157,15 @@ def _in_all_lots(rows: DataFrame) -> DataFrame:
     return rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))))
 
 
+def _merged(rows: DataFrame, others: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join that broadcasts neither side.
+
+    All these tables grow with the corpus, and Spark takes the size of compressed files, and of
+    rows before they go to all lots, for what the driver would have to hold.
+    """
+    return rows.join(others.hint("merge"), on, how)
+
+
 def _told(scanned: DataFrame, texts: DataFrame, at: float, tables: Tables) -> DataFrame:
     """Of each text the terms that give one of its entities away: ``_digest, term, disclosure``.
 
@@ -179,7 +188,9 @@ def _told(scanned: DataFrame, texts: DataFrame, at: float, tables: Tables) -> Da
     maybe, once = parted(texts, key_hash(F.col("_digest")), bitmap(repeated, tables, "pii_repeated"))
     different = once.unionByName(maybe.dropDuplicates(["_digest"]))
     documents = tables.stored(_documents(different, terms, tables), "pii_documents")
-    entities = tables.stored(held.groupBy("entity").agg(F.count("*").alias("n_e")), "pii_entities")
+    entities = tables.stored(
+        held.groupBy("entity").agg(F.count("*").alias("n_e"), F.min("_digest").alias("_digest")), "pii_entities"
+    )
 
     def disclosure(n_et, n_e, n_t):
         pmi = F.log2((n_et - CORRECTION) * total / (n_e * n_t))
@@ -190,22 +201,25 @@ def _told(scanned: DataFrame, texts: DataFrame, at: float, tables: Tables) -> Da
     one = F.lit(1.0)
     telling = documents.withColumn("disclosure", disclosure(one, one, F.col("n_t")))
     telling = telling.filter(F.col("disclosure") >= at).select("term", "disclosure")
-    alone = held.join(entities.filter("n_e = 1"), "entity", "left_semi").select("_digest").distinct()
-    by_one = _dealt(terms.join(alone, "_digest", "left_semi"), "_digest").join(
-        _in_all_lots(telling), ["term", "lot"]
+    alone = entities.filter("n_e = 1").select("_digest").distinct()
+    by_one = _merged(
+        _dealt(_merged(terms, alone, "_digest", "left_semi"), "_digest"), _in_all_lots(telling), ["term", "lot"]
     )
 
-    recurring = entities.filter("n_e > 1")
-    pairs = _dealt(held, "_digest").join(_in_all_lots(recurring), ["entity", "lot"])
-    pairs = tables.stored(pairs.select("_digest", "entity"), "pii_recurring").join(terms, "_digest")
-    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    told = _dealt(together, "term").join(_in_all_lots(recurring), ["entity", "lot"])
-    told = _dealt(told.drop("lot"), "entity").join(_in_all_lots(documents), ["term", "lot"])
+    recurring = entities.filter("n_e > 1").select("entity", "n_e")
+    pairs = _merged(_dealt(held, "_digest"), _in_all_lots(recurring), ["entity", "lot"])
+    pairs = tables.stored(pairs.select("_digest", "entity", "n_e"), "pii_recurring")
+    pairs = _merged(terms, pairs, "_digest")
+    together = pairs.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"))
+    told = _merged(_dealt(together, "entity"), _in_all_lots(documents), ["term", "lot"])
     told = told.withColumn("disclosure", disclosure(F.col("n_et"), F.col("n_e"), F.col("n_t")))
     told = tables.stored(
         told.filter(F.col("disclosure") >= at).select("entity", "term", "disclosure"), "pii_told"
     )
-    by_many = _dealt(pairs, "_digest").join(_in_all_lots(told), ["entity", "term", "lot"])
+    # Few pairs tell; the others do not cross.
+    key = key_hash(F.col("entity"), F.col("term"))
+    pairs = possible(pairs, key, bitmap(told.select(key.alias("k")), tables, "pii_told_bitmap"))
+    by_many = _merged(_dealt(pairs, "_digest"), _in_all_lots(told), ["entity", "term", "lot"])
     columns = ["_digest", "term", "disclosure"]
     return by_one.select(columns).unionByName(by_many.select(columns))
 
@@ -220,7 +234,7 @@ def _documents(texts: DataFrame, terms: DataFrame, tables: Tables) -> DataFrame:
     wanted = bitmap(terms.select(key_hash(F.col("term")).alias("k")), tables, "pii_wanted_bitmap")
     words = texts.select(F.explode(F.array_distinct(alnum_words(F.col("_text")))).alias("term"))
     counted = possible(words, key_hash(F.col("term")), wanted).groupBy("term").agg(F.count("*").alias("n_t"))
-    return counted.join(terms, "term", "left_semi")
+    return _merged(counted, terms, "term", "left_semi")
 
 
 def find_pii(
@@ -261,8 +275,8 @@ def find_pii(
     # Very many rows may have one text.
     holding = scanned.filter(F.size("entities") > 0)
     rows = holding.withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(LOTS)).cast("int"))
-    found = rows.join(
-        _in_all_lots(told).withColumnRenamed("lot", "_in"),
+    found = _merged(
+        rows, _in_all_lots(told).withColumnRenamed("lot", "_in"),
         (F.col("_digest") == F.col("_of")) & (F.col("lot") == F.col("_in")), "left",
     )
     schema = _MARKED.format(id=kind)

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import re
 from math import isclose, log2
 
 from rollbook.llm.pii import find_pii, sanitise
+from rollbook.llm.store import Tables
 
 
 def test_terms_of_the_whole_document_go(spark):
@@ -37,3 +39,25 @@ def test_terms_of_entities_in_one_or_two_documents(spark):
     # 22 different texts: 16 and six more; the copies of 100 change no count but have its spans.
     assert all(found[n] == found[100] for n in range(200, 240))
     assert isclose(max(t.disclosure for t in found[100] if t.stop - t.start == 8), log2(0.5 * 22) / log2(22))
+
+
+def test_only_bitmaps_are_broadcast(spark, monkeypatch):
+    """What grows with the corpus never meets on the driver, however small its files may be."""
+    plans, stored = [], Tables.stored
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def seen(self, df, label):
+        plans.append(plan(df))
+        return stored(self, df, label)
+
+    monkeypatch.setattr(Tables, "stored", seen)
+    rows = [(n, f"w{n} jane@x.org u{n % 9}@y.org Zorblatt c{n % 5}x") for n in range(40)]
+    rows += [(n, f"c{n % 5}x d{n}") for n in range(40, 80)]
+    found = find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans.append(plan(found))
+    joins = [line for text in plans for line in text.splitlines() if re.search(r"(Join|CartesianProduct)\b", line)]
+    assert sum("SortMergeJoin" in line for line in joins) >= 7
+    assert all("SortMergeJoin" in line or "_word#" in line for line in joins)
+    assert found.count() == 80 and found.filter("size(terms) > 0").count() == 40
